@@ -2,9 +2,11 @@
 
 Each text below is SQL that Spark and DuckDB both read; table names stand in braces. The
 ``CASE`` on a key gives every row one of several shapes; no row is left out by its key.
+The tables of the shop come from several unions in SQL; Spark makes them in one scan.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("customer", "events", "nation", "orders", "pages", "part", "supplier")
 
@@ -168,8 +170,60 @@ def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
         for name in TABLES
         if f"{{{name}}}" in text
     }
-    return spark.sql(text.replace('"anchorText"', "anchorText").replace('"wikiLink"', "wikiLink"),
-                     **tables)
+    return spark.sql(text, **tables)
+
+
+def _variants(rows: DataFrame, key: str, names: tuple[str, ...], *variants) -> DataFrame:
+    """Several rows per row: each variant is a condition (or None) and its column values."""
+    items = []
+    for condition, *values in variants:
+        item = F.struct(*(_column(v).alias(name) for v, name in zip(values, names)))
+        items.append(item if condition is None else F.when(condition, item))
+    spread = rows.select(*([key] if key else []), F.explode(F.array(*items)).alias("item"))
+    return spread.where(F.col("item").isNotNull()).select(*([key] if key else []), "item.*")
+
+
+def _column(value: str | Column) -> Column:
+    return F.lit(value) if isinstance(value, str) else value
+
+
+def _text(before: str, column: str, after: str = "") -> Column:
+    return F.concat(F.lit(before), F.col(column).cast("string"), F.lit(after))
+
+
+def shop_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = _text("https://en.wikipedia.org/wiki/Cust_", "c")
+    return _variants(
+        derive(spark, sf_dir, SHOP),
+        "url",
+        ("anchorText", "wikiLink"),
+        (F.col("o_orderpriority") != "5-LOW", F.col("c_name"), customer),
+        (F.col("o_orderpriority") == "1-URGENT", "again", customer),
+        (
+            F.col("c_mktsegment") == "BUILDING",
+            "also",
+            _text("https://en.wikipedia.org/wiki/Acust_", "c"),
+        ),
+        (F.col("o_totalprice") > 250000, "order", _text("http://m.wikipedia.org/wiki/Order_", "k")),
+        (F.col("c_mktsegment") == "MACHINERY", "none", "https://example.org/none"),
+    )
+
+
+def shop_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order, customer = _text("_:o", "k"), _text("_:c", "c")
+    return _variants(
+        derive(spark, sf_dir, SHOP),
+        "url",
+        ("subject", "predicate", "obj"),
+        (None, order, "<http://schema.org/Order/customer>", customer),
+        (None, customer, "<http://schema.org/Person/name>", _text('"', "c_name", '"')),
+        (None, order, "<http://schema.org/name>", _text('"Order ', "k", '"')),
+        (None, customer, "<http://schema.org/Person/nationality>", _text('"', "n_name", '"')),
+    )
+
+
+def shop_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, SHOP_DICTIONARY)
 
 
 def for_duckdb(text: str) -> str:

@@ -93,7 +93,7 @@ def name_annotations(spark, sf_dir):
 
 @query
 def wiki_titles(spark, sf_dir):
-    links = derive(spark, sf_dir, inputs.SHOP_LINKS)
+    links = inputs.shop_links(spark, sf_dir)
     return links.select("url", "wikiLink", wiki_title(F.col("wikiLink")).alias("title"))
 
 
@@ -135,18 +135,18 @@ def tweet_links(spark, sf_dir):
 def _shop(spark, sf_dir):
     return (
         derive(spark, sf_dir, inputs.SHOP_PAGES),
-        derive(spark, sf_dir, inputs.SHOP_ANNOTATIONS),
-        derive(spark, sf_dir, inputs.SHOP_LINKS),
+        inputs.shop_annotations(spark, sf_dir),
+        inputs.shop_links(spark, sf_dir),
     )
 
 
 def _by_name(spark, sf_dir):
-    return matching.name_exact_match(derive(spark, sf_dir, inputs.SHOP_DICTIONARY))
+    return matching.name_exact_match(inputs.shop_dictionary(spark, sf_dir))
 
 
 @query
 def triples_by_page(spark, sf_dir):
-    lists = grouping.triples_by_page(derive(spark, sf_dir, inputs.SHOP_ANNOTATIONS))
+    lists = grouping.triples_by_page(inputs.shop_annotations(spark, sf_dir))
     line = lambda t: F.concat_ws(
         "\t", t["subject"], t["predicate"], t["obj"], t["copies"].cast("string")
     )
@@ -157,7 +157,7 @@ def triples_by_page(spark, sf_dir):
 
 @query
 def wikilinks_by_page(spark, sf_dir):
-    lists = grouping.wikilinks_by_page(derive(spark, sf_dir, inputs.SHOP_LINKS))
+    lists = grouping.wikilinks_by_page(inputs.shop_links(spark, sf_dir))
     line = lambda l: F.concat_ws("\t", l["wikiLink"], l["copies"].cast("string"))  # noqa: E731, E741
     return lists.select(
         "url",
@@ -173,13 +173,13 @@ def pages_triples_links(spark, sf_dir):
 
 @query
 def page_wiki_titles(spark, sf_dir):
-    return matching.page_wiki_titles(derive(spark, sf_dir, inputs.SHOP_LINKS))
+    return matching.page_wiki_titles(inputs.shop_links(spark, sf_dir))
 
 
 @query
 def page_mentions(spark, sf_dir):
     return matching.page_mentions(
-        derive(spark, sf_dir, inputs.SHOP_LINKS), derive(spark, sf_dir, inputs.SHOP_DICTIONARY)
+        inputs.shop_links(spark, sf_dir), inputs.shop_dictionary(spark, sf_dir)
     )
 
 
@@ -189,21 +189,29 @@ def instance_match(spark, sf_dir):
 
 
 def title_matcher():
-    """A page-level strategy: an entity's name is the title of a linked article."""
-    import re
+    """A page-level strategy: an entity's name is the title of a linked article.
 
-    def words(text):
-        return re.sub(r"\W+", " ", text, flags=re.ASCII).strip().lower()
+    Inner functions travel to the workers with the job, wherever this file lies.
+    """
+
+    def set_up():
+        import re
 
-    def match(url, source, triples, links):
         prefix = "wikipedia.org/wiki/"
-        titles = {link.rsplit(prefix, 1)[1] for link in links if prefix in link}
-        by_words = {words(title.replace("_", " ")): title for title in sorted(titles, reverse=True)}
-        for subject, predicate, obj in triples:
-            if predicate.endswith("/name>") and obj is not None and words(obj) in by_words:
-                yield subject, by_words[words(obj)]
 
-    return match
+        def words(text):
+            return re.sub(r"\W+", " ", text, flags=re.ASCII).strip().lower()
+
+        def match(url, source, triples, links):
+            titles = {link.rsplit(prefix, 1)[1] for link in links if prefix in link}
+            known = {words(title.replace("_", " ")): title for title in sorted(titles)[::-1]}
+            for subject, predicate, obj in triples:
+                if predicate.endswith("/name>") and obj is not None and words(obj) in known:
+                    yield subject, known[words(obj)]
+
+        return match
+
+    return set_up
 
 
 def title_strategy(pages, annotations, wiki_links):
@@ -225,7 +233,7 @@ def title_strategy(pages, annotations, wiki_links):
 
 @query
 def custom_strategy(spark, sf_dir):
-    return per_page(title_matcher, beyond=title_strategy)(*_shop(spark, sf_dir))
+    return per_page(title_matcher(), beyond=title_strategy)(*_shop(spark, sf_dir))
 
 
 @query
@@ -267,7 +275,7 @@ def _json_pages(spark, sf_dir, compression) -> str:
 
 
 def _tsv_links(spark, sf_dir) -> str:
-    links = derive(spark, sf_dir, inputs.SHOP_LINKS)
+    links = inputs.shop_links(spark, sf_dir)
     lines = links.select(F.concat_ws("\t", "url", "anchorText", "wikiLink").alias("value"))
     return _written(spark, "links-tsv", lines.write.text)
 
@@ -401,7 +409,7 @@ def job_knowledge_base(spark, sf_dir):
         _written(spark, name, table.write.parquet)
         for name, table in zip(("pages", "annotations", "wiki-links"), _shop(spark, sf_dir))
     ]
-    dictionary = derive(spark, sf_dir, inputs.SHOP_DICTIONARY)
+    dictionary = inputs.shop_dictionary(spark, sf_dir)
     mentions = _written(spark, "dictionary", dictionary.write.parquet)
     return _job_output(
         spark, "knowledge-base",

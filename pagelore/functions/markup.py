@@ -19,21 +19,15 @@ _TO_THE_END = 2**30
 _OPEN, _CLOSE = "\ufdd0", "\ufdd1"
 
 
-def _any_tag(names: tuple[str, ...], lead: str) -> str:
-    return rf"<{lead}(?:{'|'.join(names)})(?:[\s/][^>]*)?>"
+_ATTRIBUTES = r"(?:[\s/][^>]*)?"
 
-
-def _raw_text_region(name: str) -> str:
-    return rf"<{name}(?:[\s/][^>]*)?>.*?(?:</{name}(?:[\s/][^>]*)?>|\z)"
-
-
-# Group 1: markup to be left alone. Group 2: a tag that starts or ends a paragraph.
+# After a "<". Group 1: markup to be left alone. Group 3: a tag that starts or ends a
+# paragraph. One "<" in front of everything lets the matcher skip all other characters.
 _REGION = (
-    r"(?is)(<!--.*?(?:-->|\z)|"
-    + "|".join(_raw_text_region(name) for name in RAW_TEXT_ELEMENTS)
-    + ")|("
-    + _any_tag(("p", *PARAGRAPH_ENDERS), "/?")
-    + ")"
+    r"(?is)<(?:"
+    r"(!--.*?(?:-->|\z)"
+    rf"|({'|'.join(RAW_TEXT_ELEMENTS)}){_ATTRIBUTES}>.*?(?:</\2{_ATTRIBUTES}>|\z))"
+    rf"|(/?(?:{'|'.join(('p', *PARAGRAPH_ENDERS))}){_ATTRIBUTES}>))"
 )
 
 
@@ -83,12 +77,14 @@ def paragraphs(content: Column) -> Column:
     white space become one space, as an HTML reader shows them.
     """
     clean = F.replace(F.replace(content, F.lit(_OPEN)), F.lit(_CLOSE))
-    marked = F.regexp_replace(clean, _REGION, f"$1{_OPEN}$2{_CLOSE}")
+    marked = F.regexp_replace(clean, _REGION, f"<$1{_OPEN}$3{_CLOSE}")
     tags = F.replace(marked, F.lit(_OPEN + _CLOSE))
-    pieces = F.split(tags, rf"(?i){_OPEN}<p(?:[\s/][^>]*)?>{_CLOSE}")
+    pieces = F.split(tags, rf"(?i)<{_OPEN}p{_ATTRIBUTES}>{_CLOSE}")
     return F.transform(
         F.slice(pieces, 2, _TO_THE_END),
         lambda piece: F.trim(
-            F.regexp_replace(F.substring_index(piece, _OPEN, 1), r"[ \t\n\f\r]+", " ")
+            F.regexp_replace(
+                F.substring_index(piece, "<" + _OPEN, 1), r"[ \t\n\f\r]{2,}|[\t\n\f\r]", " "
+            )
         ),
     )

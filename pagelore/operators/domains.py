@@ -3,6 +3,7 @@
 import string
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,16 @@ def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The public-suffix rules, from a list file or else the list that Spark ships."""
     if path is not None:
         return parse_suffix_rules(spark.read.text(path))
+    if not _shipped:
+        _shipped.append(parse_suffix_rules(_shipped_lines(spark)).toArrow())
+    return spark.createDataFrame(_shipped[0])
+
+
+# The list that Spark ships, parsed once per process: about 9,000 rows.
+_shipped: list[pa.Table] = []
+
+
+def _shipped_lines(spark: SparkSession) -> DataFrame:
     loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
     stream = loader.getResourceAsStream("mozilla/public-suffix-list.txt")
     if stream is None:
@@ -61,7 +72,7 @@ def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
         text = bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
-    return parse_suffix_rules(spark.createDataFrame(pa.table({"value": text.splitlines()})))
+    return spark.createDataFrame(pa.table({"value": text.splitlines()}))
 
 
 def _label_count(name: Column) -> Column:
@@ -82,11 +93,13 @@ def top_private_domain(
     """
     if rules is None:
         rules = suffix_rules(df.sparkSession)
-    bound = rules.agg(F.count("*").alias("rows"), F.max("labels").alias("depth")).first()
-    if bound.rows <= MAX_BROADCAST_RULES:
+    first = rules.limit(MAX_BROADCAST_RULES + 1).toArrow()
+    if first.num_rows <= MAX_BROADCAST_RULES:
         # Measured to be small: keep the parsed rows in the plan instead of re-parsing.
-        rules = F.broadcast(df.sparkSession.createDataFrame(rules.toArrow()))
-    depth = bound.depth or 0
+        rules = F.broadcast(df.sparkSession.createDataFrame(first))
+        depth = pc.max(first["labels"]).as_py() or 0
+    else:
+        depth = rules.agg(F.max("labels")).first()[0]
 
     found = _with_name(df, url_col)
     for labels in range(1, depth + 1):

@@ -89,11 +89,14 @@ def page_bundles(pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame
 
     For tables without oversized pages. The lists are grouped and joined in one shuffle of
     each input; staged in the shared folder, they are a plain side of the join with pages.
+    That join is a sort-merge join, so that the work per page is spread evenly.
     """
     lists = _plain_list(annotations, F.struct(*_TRIPLE), "triples").join(
         _plain_list(wiki_links, F.col("wikiLink"), "wikilinks"), "url"
     )
-    return pages.select("url", "content").join(cut_lineage(lists, "page-lists"), "url")
+    return pages.select("url", "content").join(
+        cut_lineage(lists, "page-lists").hint("merge"), "url"
+    )
 
 
 def _plain_list(rows: DataFrame, item: Column, out: str) -> DataFrame:

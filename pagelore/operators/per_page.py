@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagelore import schemas
 from pagelore.operators.grouping import oversized_pages, page_bundles
 from pagelore.operators.matching import Strategy
+from pagelore.sources.staging import cut_lineage
 
 # A page with more annotations or links than this is not handed to Python.
 PAGE_ITEMS = 100_000
@@ -33,23 +34,32 @@ def per_page(
     rather than go missing.
     """
 
+    names = schemas.MAPPINGS.names
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = matcher()
         for batch in batches:
+            triples, links = batch.column("triples"), batch.column("wikilinks")
+            fields = [field.to_pylist() for field in triples.flatten().flatten()]
+            all_triples, all_links = list(zip(*fields)), links.flatten().to_pylist()
+            triple_ends, link_ends = triples.offsets.to_pylist(), links.offsets.to_pylist()
             found = [
                 (url, local, entity)
-                for url, content, triples, links in zip(
-                    *(batch.column(name).to_pylist() for name in batch.schema.names)
+                for i, (url, content) in enumerate(
+                    zip(batch.column("url").to_pylist(), batch.column("content").to_pylist())
+                )
+                for local, entity in match(
+                    url,
+                    content,
+                    all_triples[triple_ends[i] - triple_ends[0]:triple_ends[i + 1] - triple_ends[0]],
+                    all_links[link_ends[i] - link_ends[0]:link_ends[i + 1] - link_ends[0]],
                 )
-                for local, entity in match(url, content, [tuple(t.values()) for t in triples], links)
             ]
-            columns = list(zip(*found)) if found else [()] * len(schemas.MAPPINGS.names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.string()) for column in columns], schemas.MAPPINGS.names
-            )
+            columns = list(zip(*found)) if found else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names)
 
     def strategy(pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame) -> DataFrame:
-        big = oversized_pages(annotations, wiki_links, page_items)
+        big = cut_lineage(oversized_pages(annotations, wiki_links, page_items), "oversized-pages")
         whole = [t.join(big, "url", "left_anti") for t in (annotations, wiki_links)]
         mappings = page_bundles(pages, *whole).mapInArrow(run, schemas.MAPPINGS)
         if beyond is not None:
