@@ -9,15 +9,18 @@ QUAD_FIELDS = ("subject", "predicate", "obj", "url", "extractor")
 
 
 def quad_fields(line: Column) -> Column:
-    """The five fields of one quad line as an array; null when the line is no quad.
+    """The five fields of one quad line as a nested array; empty when the line is no quad.
 
     One regular-expression pass per line: the line is rewritten with a line break between
     fields and then split. A line has no line break of its own, so nothing else can match.
+    The result is an array of at most one array so that it can be exploded.
     """
     between = "\n".join(f"${i}" for i in range(1, len(QUAD_FIELDS) + 1))
     fields = F.split(F.regexp_replace(line, QUAD, between), "\n")
-    is_quad = (F.size(fields) == len(QUAD_FIELDS)) & ~F.contains(line, F.lit("\n"))
-    return F.when(is_quad, fields)
+    return F.filter(
+        F.array(fields),
+        lambda found: (F.size(found) == len(QUAD_FIELDS)) & ~F.contains(line, F.lit("\n")),
+    )
 
 
 def is_name_predicate(predicate: Column) -> Column:

@@ -16,12 +16,13 @@ MAX_BROADCAST_RULES = 100_000
 _EXACT, _WILDCARD, _EXCEPTION = 1, 2, 4
 
 # A label starts and ends with a letter or digit; "-" and "_" may stand in between. Any
-# non-ASCII character counts as a letter. The last label may not start with a digit.
-_EDGE = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]"
-_INNER = r"[^\x00-\x2c\x2e\x2f\x3a-\x5e\x60\x7b-\x7f]"
-_LAST_EDGE = r"[^\x00-\x60\x7b-\x7f]"
-_TAIL = rf"(?:{_INNER}{{0,61}}{_EDGE})?"
-_DOMAIN = rf"\A(?:{_EDGE}{_TAIL}\.)*{_LAST_EDGE}{_TAIL}\z"
+# non-ASCII character counts as a letter. The last label may not start with a digit. All
+# repetitions are possessive: a host is read once, from left to right.
+_LETTER = r"a-z\x{80}-\x{10ffff}"
+_REST = rf"[{_LETTER}0-9]*+(?:[-_]++[{_LETTER}0-9]++)*+"
+_DOMAIN = rf"\A(?:[{_LETTER}0-9]{_REST}\.)*+[{_LETTER}]{_REST}\z"
+_LONG_LABEL = r"[^.]{64}"
+_MAX_LABEL = 63
 _MAX_NAME = 253
 
 
@@ -119,15 +120,23 @@ def top_private_domain(
 
 
 def _with_name(df: DataFrame, url_col: str) -> DataFrame:
-    """Add the raw host and its normalised domain name, label count and validity."""
-    fold = F.translate(
-        F.col("_host"), string.ascii_uppercase + "。．｡", string.ascii_lowercase + "..."
+    """Add the raw host and its normalised domain name, label count and validity.
+
+    Only ASCII letters are folded, and other full stops count as dots; for the many hosts
+    that are all ASCII that is just lower case.
+    """
+    host, folded = F.col("_host"), F.col("_folded")
+    fold = F.when(F.length(host) == F.octet_length(host), F.lower(host)).otherwise(
+        F.translate(host, string.ascii_uppercase + "。．｡", string.ascii_lowercase + "...")
     )
-    name = F.when(fold.endswith("."), F.substring(fold, 1, F.length(fold) - 1)).otherwise(fold)
-    valid = F.col("_name").rlike(_DOMAIN) & (F.length("_name") <= _MAX_NAME)
+    name = F.when(folded.endswith("."), F.substring(folded, 1, F.length(folded) - 1))
+    short = (F.length("_name") <= _MAX_LABEL) | ~F.col("_name").rlike(_LONG_LABEL)
+    valid = F.col("_name").rlike(_DOMAIN) & short & (F.length("_name") <= _MAX_NAME)
     return (
         df.withColumn("_host", url_host(F.col(url_col)))
-        .withColumn("_name", name)
+        .withColumn("_folded", fold)
+        .withColumn("_name", name.otherwise(folded))
+        .drop("_folded")
         .withColumn("_valid", valid)
         .withColumn("_labels", F.when(F.col("_valid"), _label_count(F.col("_name"))))
     )

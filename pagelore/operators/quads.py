@@ -17,7 +17,8 @@ def parse_quads(lines: DataFrame, line_col: str = "value", on_error: str = "keep
     """
     if on_error not in ("keep", "drop"):
         raise ValueError(f"on_error must be keep or drop, not {on_error!r}")
-    parsed = lines.select(quad_fields(F.col(line_col)).alias("fields"))
+    # Exploding keeps a check of the result from running the pattern a second time.
+    parsed = lines.select(F.explode_outer(quad_fields(F.col(line_col))).alias("fields"))
     if on_error == "drop":
         parsed = parsed.where(F.col("fields").isNotNull())
     marker = F.array(F.lit(QUAD_ERROR_SUBJECT), *[F.lit("")] * (len(QUAD_FIELDS) - 1))
