@@ -8,7 +8,17 @@ The tables of the shop come from several unions in SQL; Spark makes them in one
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("customer", "events", "nation", "orders", "pages", "part", "supplier")
+# The columns in use. With a given schema Spark opens no file before the query runs.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "events": "event_id bigint, user_id bigint",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderpriority string",
+    "pages": "page_id bigint, url string, html string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "supplier": "s_suppkey bigint",
+}
 
 EDGE_URLS = """
 SELECT event_id,
@@ -163,24 +173,24 @@ FROM {orders}
 """
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one of the texts above over the Parquet tables of a folder."""
-    tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        for name in TABLES
-        if f"{{{name}}}" in text
-    }
+    tables = {name: table(spark, sf_dir, name) for name in TABLES if f"{{{name}}}" in text}
     return spark.sql(text, **tables)
 
 
-def _variants(rows: DataFrame, key: str, names: tuple[str, ...], *variants) -> DataFrame:
-    """Several rows per row: each variant is a condition (or None) and its column values."""
+def _variants(rows: DataFrame, names: tuple[str, ...], *variants) -> DataFrame:
+    """Several rows per address: each variant is a condition (or None) and column values."""
     items = []
     for condition, *values in variants:
         item = F.struct(*(_column(v).alias(name) for v, name in zip(values, names)))
         items.append(item if condition is None else F.when(condition, item))
-    spread = rows.select(*([key] if key else []), F.explode(F.array(*items)).alias("item"))
-    return spread.where(F.col("item").isNotNull()).select(*([key] if key else []), "item.*")
+    spread = rows.select("url", F.explode(F.array(*items)).alias("item"))
+    return spread.where(F.col("item").isNotNull()).select("url", "item.*")
 
 
 def _column(value: str | Column) -> Column:
@@ -191,11 +201,19 @@ def _text(before: str, column: str, after: str = "") -> Column:
     return F.concat(F.lit(before), F.col(column).cast("string"), F.lit(after))
 
 
-def shop_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, SHOP)
+
+
+def shop_pages(shop: DataFrame) -> DataFrame:
+    content = _text("<p>Order ", "k", "</p>").alias("content")
+    return shop.where(F.col("o_orderstatus") != "P").select("url", content)
+
+
+def shop_links(shop: DataFrame) -> DataFrame:
     customer = _text("https://en.wikipedia.org/wiki/Cust_", "c")
     return _variants(
-        derive(spark, sf_dir, SHOP),
-        "url",
+        shop,
         ("anchorText", "wikiLink"),
         (F.col("o_orderpriority") != "5-LOW", F.col("c_name"), customer),
         (F.col("o_orderpriority") == "1-URGENT", "again", customer),
@@ -209,11 +227,10 @@ def shop_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shop_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shop_annotations(shop: DataFrame) -> DataFrame:
     order, customer = _text("_:o", "k"), _text("_:c", "c")
     return _variants(
-        derive(spark, sf_dir, SHOP),
-        "url",
+        shop,
         ("subject", "predicate", "obj"),
         (None, order, "<http://schema.org/Order/customer>", customer),
         (None, customer, "<http://schema.org/Person/name>", _text('"', "c_name", '"')),

@@ -34,7 +34,7 @@ def query(function: Query) -> Query:
 @query
 def hostname_pages(spark, sf_dir):
     """Host names of the crawled pages."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = inputs.table(spark, sf_dir, "pages")
     return with_hostname(pages.select("page_id", F.col("url").alias("page")))
 
 
@@ -93,7 +93,7 @@ def name_annotations(spark, sf_dir):
 
 @query
 def wiki_titles(spark, sf_dir):
-    links = inputs.shop_links(spark, sf_dir)
+    links = inputs.shop_links(inputs.shop(spark, sf_dir))
     return links.select("url", "wikiLink", wiki_title(F.col("wikiLink")).alias("title"))
 
 
@@ -133,11 +133,8 @@ def tweet_links(spark, sf_dir):
 
 
 def _shop(spark, sf_dir):
-    return (
-        derive(spark, sf_dir, inputs.SHOP_PAGES),
-        inputs.shop_annotations(spark, sf_dir),
-        inputs.shop_links(spark, sf_dir),
-    )
+    shop = inputs.shop(spark, sf_dir)
+    return inputs.shop_pages(shop), inputs.shop_annotations(shop), inputs.shop_links(shop)
 
 
 def _by_name(spark, sf_dir):
@@ -146,7 +143,7 @@ def _by_name(spark, sf_dir):
 
 @query
 def triples_by_page(spark, sf_dir):
-    lists = grouping.triples_by_page(inputs.shop_annotations(spark, sf_dir))
+    lists = grouping.triples_by_page(inputs.shop_annotations(inputs.shop(spark, sf_dir)))
     line = lambda t: F.concat_ws(
         "\t", t["subject"], t["predicate"], t["obj"], t["copies"].cast("string")
     )
@@ -157,7 +154,7 @@ def triples_by_page(spark, sf_dir):
 
 @query
 def wikilinks_by_page(spark, sf_dir):
-    lists = grouping.wikilinks_by_page(inputs.shop_links(spark, sf_dir))
+    lists = grouping.wikilinks_by_page(inputs.shop_links(inputs.shop(spark, sf_dir)))
     line = lambda l: F.concat_ws("\t", l["wikiLink"], l["copies"].cast("string"))  # noqa: E731, E741
     return lists.select(
         "url",
@@ -173,13 +170,13 @@ def pages_triples_links(spark, sf_dir):
 
 @query
 def page_wiki_titles(spark, sf_dir):
-    return matching.page_wiki_titles(inputs.shop_links(spark, sf_dir))
+    return matching.page_wiki_titles(inputs.shop_links(inputs.shop(spark, sf_dir)))
 
 
 @query
 def page_mentions(spark, sf_dir):
     return matching.page_mentions(
-        inputs.shop_links(spark, sf_dir), inputs.shop_dictionary(spark, sf_dir)
+        inputs.shop_links(inputs.shop(spark, sf_dir)), inputs.shop_dictionary(spark, sf_dir)
     )
 
 
@@ -275,13 +272,13 @@ def _json_pages(spark, sf_dir, compression) -> str:
 
 
 def _tsv_links(spark, sf_dir) -> str:
-    links = inputs.shop_links(spark, sf_dir)
+    links = inputs.shop_links(inputs.shop(spark, sf_dir))
     lines = links.select(F.concat_ws("\t", "url", "anchorText", "wikiLink").alias("value"))
     return _written(spark, "links-tsv", lines.write.text)
 
 
 def _url_pages(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("page"))
+    pages = inputs.table(spark, sf_dir, "pages").select(F.col("url").alias("page"))
     return pages.unionAll(derive(spark, sf_dir, inputs.EDGE_URLS).select("page").dropna())
 
 

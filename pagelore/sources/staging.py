@@ -14,9 +14,13 @@ def shared_folder(spark: SparkSession) -> str | None:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table.
 
-    A session without a shared folder is a local one; it gets a temporary folder.
+    Only a local session may go without a shared folder; it gets a temporary one.
     """
-    folder = shared_folder(spark) or tempfile.mkdtemp(prefix="pagelore-")
+    folder = shared_folder(spark)
+    if folder is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="pagelore-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
