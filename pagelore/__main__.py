@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit run_job.py JOB ARGUMENTS`` or ``python -m pagelore``."""
+"""Run one job: ``python -m pagelore JOB ...``, or submit this file with the package zipped."""
 
 import argparse
 import inspect

@@ -33,11 +33,12 @@ def page_mentions(
 ) -> DataFrame:
     """(url, mention, title): the entity each cleaned mention means on each page.
 
-    When several titles of a page share a mention, the smallest title is taken.
+    When several titles of a page share a mention, the smallest title is taken. Spellings
+    that clean to the same mention are merged before they meet the links.
     """
     known = dictionary.select(
         "title", clean_name(F.col("mention"), strip_literal).alias("mention")
-    )
+    ).distinct()
     candidates = page_wiki_titles(wiki_links).join(known, "title")
     return group_to_join(candidates, "url", "mention").agg(F.min("title").alias("title")).select(
         "url", "mention", "title"

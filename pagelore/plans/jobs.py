@@ -6,11 +6,13 @@ the size of the input, so that the number of tasks grows with the data.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagelore.operators.domains import suffix_rules
 from pagelore.operators.enrichment import parse_feeds, with_hostname
 from pagelore.operators.extraction import tweet_links, wiki_link_paragraphs
 from pagelore.operators.matching import Strategy, name_exact_match
 from pagelore.operators.quads import annotations_from_quads
 from pagelore.operators.substitution import substitute_objects, substitute_subjects
+from pagelore.plans.sizing import sized_shuffles
 from pagelore.sources import readers, writers
 from pagelore.sources.staging import cut_lineage
 
@@ -60,11 +62,7 @@ def quads_to_parquet(
     rules_path: str | None = None,
     min_partitions: int | None = None,
 ) -> None:
-    rules = None
-    if rules_path is not None:
-        from pagelore.operators.domains import suffix_rules
-
-        rules = suffix_rules(spark, rules_path)
+    rules = suffix_rules(spark, rules_path)
     lines = readers.read_lines(spark, source, min_partitions)
     writers.write_parquet(annotations_from_quads(lines, on_error=on_error, rules=rules), target)
 
@@ -95,7 +93,8 @@ def build_knowledge_base(
 ) -> None:
     """Match the entities of all pages and rewrite the annotations; replaces the target."""
     tables = [readers.read_parquet(spark, path) for path in (pages, annotations, wiki_links)]
-    writers.write_parquet(knowledge_base(*tables, strategy), target, overwrite=True)
+    with sized_shuffles(spark, annotations, wiki_links):
+        writers.write_parquet(knowledge_base(*tables, strategy), target, overwrite=True)
 
 
 def build_knowledge_base_by_name(

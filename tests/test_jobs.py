@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pagelore import __main__ as command_line
 from pagelore import schemas
 from pagelore.operators.matching import name_exact_match
-from pagelore.plans import jobs
+from pagelore.plans import jobs, sizing
 from pagelore.streaming import ingest
 from tests.conftest import rows
 
@@ -157,6 +157,18 @@ def test_wiki_links(spark, run, put, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("u", "t", "w")]
 
 
+def test_shuffles_are_sized_by_the_input(spark, put, tmp_path, monkeypatch):
+    path = put("in/1", "x" * 999)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert sizing.shuffle_partitions(spark, path) == int(before)
+    monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 10)
+    with sizing.sized_shuffles(spark, path, str(tmp_path / "in")):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    monkeypatch.setattr(sizing, "MAX_PARTITIONS", 50)
+    assert sizing.shuffle_partitions(spark, path) == 50
+
+
 def test_every_job_has_a_command():
     parser = command_line.build_parser()
     assert len(command_line.JOBS) == 11

@@ -140,6 +140,13 @@ def test_page_level_strategy_agrees(tables, by_page):
     assert rows(per_page(by_page)(*twice)) == rows(by_tables(*twice))
 
 
+def test_page_level_strategy_in_small_batches(tables, by_page, with_conf):
+    with_conf(spark__sql__execution__arrow__maxRecordsPerBatch="1")
+    assert rows(per_page(by_page)(*tables[:3])) == MATCHES
+    with_conf(spark__sql__execution__arrow__maxRecordsPerBatch="2")
+    assert rows(per_page(by_page)(*tables[:3])) == MATCHES
+
+
 def test_big_pages_go_to_the_table_level_strategy(tables, by_page):
     *parts, dictionary = tables
     by_tables = matching.name_exact_match(dictionary)
