@@ -11,7 +11,12 @@ from pagelore.operators.enrichment import parse_feeds, with_hostname
 from pagelore.operators.extraction import tweet_links, wiki_link_paragraphs
 from pagelore.operators.matching import Strategy, name_exact_match
 from pagelore.operators.quads import annotations_from_quads
-from pagelore.operators.substitution import substitute_objects, substitute_subjects
+from pagelore.operators.substitution import (
+    count_copies,
+    repeat_copies,
+    substitute_objects,
+    substitute_subjects,
+)
 from pagelore.plans.sizing import sized_shuffles
 from pagelore.sources import readers, writers
 from pagelore.sources.staging import cut_lineage
@@ -111,11 +116,13 @@ def knowledge_base(
     """Annotations with matched subjects and objects put in their place.
 
     The mappings are needed twice, so they are written once where the cluster has a shared
-    folder. Otherwise Spark reuses the shuffles the two uses have in common.
+    folder. Otherwise Spark reuses the shuffles the two uses have in common. Equal mappings
+    go through the joins as one row with a number of copies.
     """
     triples = annotations.select("url", "subject", "predicate", "obj")
-    mappings = cut_lineage(strategy(pages, triples, wiki_links), "mappings")
-    return substitute_objects(mappings, substitute_subjects(mappings, triples))
+    mappings = cut_lineage(count_copies(strategy(pages, triples, wiki_links)), "mappings")
+    substituted = substitute_objects(mappings, substitute_subjects(mappings, triples))
+    return repeat_copies(substituted)
 
 
 def _compacted(df: DataFrame, source: str, files: int | None) -> DataFrame:

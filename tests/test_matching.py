@@ -208,6 +208,23 @@ def test_substitution_keeps_copies_and_nulls(table):
     ])
 
 
+def test_counted_copies_give_the_same_rows(spark, tables, table, monkeypatch):
+    pages, annotations, links, dictionary = tables
+    twice = pages.unionAll(pages), annotations.unionAll(annotations), links
+    strategy = matching.name_exact_match(dictionary)
+    mappings = strategy(*twice)
+    triples = twice[1].select("url", "subject", "predicate", "obj")
+    plain = substitution.substitute_objects(
+        mappings, substitution.substitute_subjects(mappings, triples)
+    )
+    assert rows(knowledge_base(*twice, strategy)) == rows(plain)
+    assert plain.count() == 6 * 4 * 2 + 3 * 4 * 2  # one object is a matched entity, too
+    monkeypatch.setattr(substitution, "_BLOCK", 3)
+    for copies in (1, 2, 3, 4, 6, 7, 10):
+        one = table("a", [("x",)]).withColumn("copies", F.lit(copies).cast("bigint"))
+        assert rows(substitution.repeat_copies(one)) == [("x",)] * copies
+
+
 def test_lists_are_whole_and_bounded(spark, table):
     annotations = spark.range(1000).select(
         F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 50)).alias("url"),
