@@ -42,7 +42,3 @@ PARAGRAPH_ENDERS = (
     "menu", "nav", "ol", "plaintext", "pre", "section", "summary", "table", "tbody", "td",
     "tfoot", "th", "thead", "tr", "ul",
 )
-
-# --- fixed values: output ---------------------------------------------------------------
-# Number of files the compaction jobs aim for when the caller asks for the classic figure.
-CLASSIC_FILE_COUNT = 1000

@@ -189,6 +189,17 @@ def test_knowledge_base(tables):
     ])
 
 
+def test_knowledge_base_as_one_plan(tables, monkeypatch):
+    """Without a shared folder nothing is staged; the result is the same."""
+    from pagelore.sources import staging
+
+    *parts, dictionary = tables
+    strategy = matching.name_exact_match(dictionary)
+    staged = rows(knowledge_base(*parts, strategy))
+    monkeypatch.setattr(staging, "shared_folder", lambda _: None)
+    assert rows(knowledge_base(*parts, strategy)) == staged
+
+
 def test_substitution_keeps_copies_and_nulls(table):
     mappings = table(
         "pageUrl localEntityUri dbPediaUri",

@@ -142,3 +142,10 @@ def test_cut_lineage(spark, with_conf):
     assert staged.inputFiles()[0].split("file:")[1].lstrip("/").startswith(
         spark.conf.get("spark.checkpoint.dir").lstrip("/")
     )
+
+
+def test_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: None)
+    df = spark.range(10)
+    assert staging.cut_lineage(df, "numbers") is df
+    assert staging.fresh_path(spark, "x") != staging.fresh_path(spark, "x")
