@@ -26,6 +26,16 @@ def page_wiki_titles(wiki_links: DataFrame) -> DataFrame:
     return titles.where(F.col("title").isNotNull()).distinct()
 
 
+def _cleaned(rows: DataFrame, column: str, strip_literal: bool) -> DataFrame:
+    """Add the cleaned text of a column as ``mention``; rows without text never match.
+
+    The mention is declared to be never null. Otherwise Spark would check the result of the
+    cleaning for null below each join, which runs the pattern twice.
+    """
+    cleaned = F.coalesce(clean_name(F.col(column), strip_literal), F.lit(""))
+    return rows.where(F.col(column).isNotNull()).withColumn("mention", cleaned)
+
+
 def page_mentions(
     wiki_links: DataFrame,
     dictionary: DataFrame,
@@ -36,9 +46,7 @@ def page_mentions(
     When several titles of a page share a mention, the smallest title is taken. Spellings
     that clean to the same mention are merged before they meet the links.
     """
-    known = dictionary.select(
-        "title", clean_name(F.col("mention"), strip_literal).alias("mention")
-    ).distinct()
+    known = _cleaned(dictionary, "mention", strip_literal).select("title", "mention").distinct()
     candidates = page_wiki_titles(wiki_links).join(known, "title")
     return group_to_join(candidates, "url", "mention").agg(F.min("title").alias("title")).select(
         "url", "mention", "title"
@@ -60,8 +68,8 @@ def name_exact_match(
     """
 
     def strategy(pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame) -> DataFrame:
-        names = name_annotations(annotations).select(
-            "url", "subject", clean_name(F.col("obj"), strip_literal).alias("mention")
+        names = _cleaned(name_annotations(annotations), "obj", strip_literal).select(
+            "url", "subject", "mention"
         )
         if ignore_empty:
             names = names.where(F.col("mention") != "")

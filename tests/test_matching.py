@@ -64,12 +64,26 @@ def test_titles_and_mentions(tables):
         ("p1", "Ann_Lee"), ("p1", "Bob"), ("p2", "Ann_Lee"), ("p2", "Lee_(Ann)"),
         ("p3", "Ann_Lee"), ("p5", "Tokyo"),
     ]
-    assert rows(matching.page_mentions(links, dictionary).where("mention is not null")) == [
+    assert rows(matching.page_mentions(links, dictionary)) == [
         ("p1", "ann lee", "Ann_Lee"), ("p1", "bob", "Bob"), ("p2", "ann lee", "Ann_Lee"),
         ("p3", "ann lee", "Ann_Lee"), ("p5", "", "Tokyo"),
     ]
 
 
+def test_names_are_cleaned_once(spark, tables, tmp_path):
+    """The plan cleans each name and mention once and reads only the columns it needs."""
+    stored = []
+    for name, df in zip(("pages", "annotations", "links", "dictionary"), tables):
+        df.write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+    *parts, dictionary = stored
+    mappings = matching.name_exact_match(dictionary)(*parts)
+    plan = mappings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(") == 2
+    assert "IsNotNull(obj)" in plan and "IsNotNull(mention)" in plan
+    assert "content" not in plan and "anchorText" not in plan
+
+
 def test_name_exact_match(tables):
     *parts, dictionary = tables
     assert rows(matching.name_exact_match(dictionary)(*parts)) == MATCHES
