@@ -21,6 +21,7 @@ from pagelore.sources.staging import fresh_path
 END_OF_TEXT = 50256
 BLOCK_IDS = 1 << 20
 RUN_BLOCKS = 1024
+TASK_BLOCKS = 64
 
 
 def write_token_files(
@@ -72,7 +73,10 @@ def blocks_of(files: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     blocks = files.where("bytes > 0").select(
         "file", "bytes", "width", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("block")
     )
-    return blocks.repartition("file", "block")
+    # The number of tasks is given, as rows so small would all be put into one.
+    total = files.agg(F.sum(F.ceil(F.col("bytes") / size))).first()[0] or 0
+    least = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(max(least, -(-total // TASK_BLOCKS)), "file", "block")
 
 
 def find_ends(blocks: DataFrame, folder: str, end_id: int, block_ids: int = BLOCK_IDS) -> DataFrame:

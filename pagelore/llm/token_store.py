@@ -225,7 +225,8 @@ def read_token_store(catalogue: DataFrame, folder: str) -> DataFrame:
                     row = last
                 reader.close()
 
-    shards = catalogue.select("file", "start").repartition("file")
+    # One task a shard: the number is given, as rows so small would all be put into one task.
+    shards = catalogue.select("file", "start").repartition(max(1, catalogue.count()), "file")
     return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
