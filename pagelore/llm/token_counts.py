@@ -142,15 +142,16 @@ def _documents(scanned: DataFrame, base: Column) -> DataFrame:
     total = base + F.col("ids")
     still_open = F.col("last") & (F.coalesce(F.element_at(stops, -1), F.col("open_at")) < total)
     tail = F.when(still_open, F.array(total)).otherwise(F.array().cast("array<long>"))
-    starts = F.concat(F.array("open_at"), stops)
+    ends = F.concat(stops, tail)
+    starts = F.slice(F.concat(F.array("open_at"), stops), 1, F.size(ends))
+    pairs = F.arrays_zip(starts.alias("start"), ends.alias("stop"))
     parts = scanned.where((F.size("ends") > 0) | still_open).select(
-        "file", "first", F.size("ends").alias("n"), starts.alias("starts"),
-        F.posexplode(F.concat(stops, tail)).alias("k", "stop"),
+        "file", "first", F.size("ends").alias("n"), F.posexplode(pairs).alias("k", "doc")
     )
-    start = F.get("starts", F.col("k"))
     return parts.select(
-        "file", (F.col("first") + F.col("k")).alias("ordinal"), start.alias("start"),
-        (F.col("stop") - start).alias("n_tokens"), (F.col("k") < F.col("n")).alias("ended"),
+        "file", (F.col("first") + F.col("k")).alias("ordinal"), F.col("doc.start").alias("start"),
+        (F.col("doc.stop") - F.col("doc.start")).alias("n_tokens"),
+        (F.col("k") < F.col("n")).alias("ended"),
     )
 
 
