@@ -144,16 +144,17 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
 
 
 def set_classes(found: DataFrame) -> DataFrame:
-    """(class, set_key, set_check, n, copies, prefix, parts, grp): one row for each different set
-    but the empty one. ``class`` is its smallest row, ``copies`` the number of its rows; ``grp`` is
-    the smallest class of equal size and prefix."""
+    """(class, set_key, set_check, n, copies, text_hash, prefix, parts, grp): one row for each
+    different set but the empty one. ``class`` is its smallest row, with its text's hash;
+    ``copies`` is the number of rows; ``grp`` is the smallest class of equal size and prefix."""
     classes = found.where("n > 0").groupBy("set_key", "set_check", "n").agg(
-        F.min(F.struct("row", "prefix", "parts")).alias("first"), F.count("*").alias("copies")
+        F.min(F.struct("row", "text_hash", "prefix", "parts")).alias("first"),
+        F.count("*").alias("copies"),
     )
     classes = stage(
         classes.select(
             F.col("first.row").alias("class"), "set_key", "set_check", "n", "copies",
-            "first.prefix", "first.parts",
+            "first.text_hash", "first.prefix", "first.parts",
         ),
         "set-classes",
     )
@@ -168,7 +169,7 @@ def set_classes(found: DataFrame) -> DataFrame:
         shared, (F.col("n") == F.col("group_n")) & (F.col("prefix") == F.col("group_prefix")), "left"
     )
     return joined.select(
-        "class", "set_key", "set_check", "n", "copies", "prefix", "parts",
+        "class", "set_key", "set_check", "n", "copies", "text_hash", "prefix", "parts",
         F.coalesce("grp", "class").alias("grp"),
     )
 
@@ -245,51 +246,41 @@ def first_pairs(lists: DataFrame, classes: DataFrame, like: Similarity) -> DataF
     return between.unionByName(members).distinct()
 
 
-def needed_sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, like: Similarity) -> DataFrame:
-    """(class, shingles): the sets of all classes that can meet another one.
+def needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
+    """(class, shingles): the whole sets of the classes in (a, b).
 
-    A fixed-size filter tells the tasks which ones these are; sets that pass it by chance do
-    no harm.
+    A fixed-size filter tells the tasks which texts these are, so no other text is cut into
+    shingles or moved; texts that pass it by chance do no harm.
     """
-    grouped = classes.where("class <> grp").select("grp")
-    meeting = lists.select(F.col("me.class").alias("meeting")).union(grouped).distinct()
-    wanted = classes.join(meeting, F.col("grp") == F.col("meeting"), "semi")
-    bits = wanted.select(F.pmod("set_key", F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    wanted = classes.join(ends, F.col("class") == F.col("end"), "semi")
+    bits = wanted.select(F.pmod("text_hash", F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
     marked = np.zeros(FILTER_BITS, dtype=bool)
     marked[bits.toArrow().column("bit").to_numpy()] = True
     packed = np.packbits(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(packed).astype(bool)
-        seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for whole in batches:
+            batch = whole.filter(pa.array(wanted[whole.column(1).to_numpy() % FILTER_BITS]))
             for part in slices(batch, 0):
-                keys, checks, sets = [], [], []
-                for s in text_shingles(part.column(0), like.k):
-                    key = _set_key(s)
-                    if not len(s) or not wanted[key % FILTER_BITS]:
-                        continue
-                    check = _set_check(s)
-                    if (key, check) not in seen:
-                        seen.add((key, check))
-                        keys.append(key)
-                        checks.append(check)
-                        sets.append(s.tobytes())
-                if len(seen) > 1 << 17:
-                    seen.clear()
+                sets = [s for s in text_shingles(part.column(0), like.k) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), pa.array(sets, pa.binary())],
+                    [
+                        pa.array([_set_key(s) for s in sets], pa.int64()),
+                        pa.array([_set_check(s) for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                    ],
                     ["set_key", "set_check", "shingles"],
                 )
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(
+    text = F.col("text").cast("string")
+    found = docs.where(text.isNotNull()).select(text, F.xxhash64(text).alias("text_hash")).mapInArrow(
         run, "set_key long, set_check long, shingles binary"
     )
-    named = classes.select("class", F.col("set_key").alias("k"), F.col("set_check").alias("c"))
-    one = found.groupBy("set_key", "set_check").agg(F.first("shingles").alias("shingles"))
-    return one.join(named, (F.col("set_key") == F.col("k")) & (F.col("set_check") == F.col("c"))).select(
-        "class", "shingles"
-    )
+    named = wanted.select("class", F.col("set_key").alias("k"), F.col("set_check").alias("c"))
+    both = found.join(named, (F.col("set_key") == F.col("k")) & (F.col("set_check") == F.col("c")))
+    return both.groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
@@ -386,12 +377,12 @@ def _with_components(docs: DataFrame, like: Similarity) -> DataFrame:
     classes = stage(set_classes(found), "classes")
     lists = stage(shared_postings(classes), "postings")
     pairs = stage(first_pairs(lists, classes, like), "pairs")
-    sets = stage(needed_sets(docs, classes, lists, like), "sets")
+    sets = stage(needed_sets(docs, classes, pairs, like), "sets")
     links = stage(verified(pairs, sets, like), "links")
     parts = connected_components(links)
     more = stage(remaining_pairs(lists, classes, parts, pairs, like), "pairs")
-    more_links = verified(more, sets, like)
-    parts = connected_components(links.unionByName(more_links))
+    sets = stage(needed_sets(docs, classes, more, like), "sets")
+    parts = connected_components(links.unionByName(verified(more, sets, like)))
     named = classes.join(parts, F.col("class") == F.col("node"), "left").select(
         F.col("set_key").alias("k"), F.col("set_check").alias("c"),
         F.coalesce("component", "class").alias("component"),
