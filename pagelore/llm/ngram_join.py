@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelore.llm.components import connected_components
@@ -32,6 +32,8 @@ FILTER_BITS = 1 << 20
 #: The list of a shingle is cut into parts by hash, one more for each time that its bucket is so
 #: many times as full as the mean, so that no task gets the whole list of a hot one.
 HOT = 8
+#: Texts are cut into shingles in runs of so many bytes.
+PART_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,7 @@ def shingle_counts(docs: DataFrame, like: Similarity) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, PART_BYTES):
                 sets = text_shingles(part.column(0), like.k)
                 counts += np.bincount(_bucket(np.concatenate(sets)), minlength=len(counts))
         yield pa.RecordBatch.from_arrays([pa.array([_packed(counts)], pa.binary())], ["counts"])
@@ -112,7 +114,7 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
         row = TaskContext.get().partitionId() << 40
         rare = shared.value
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, PART_BYTES):
                 sets = text_shingles(part.column(1), like.k)
                 firsts, parts = [], []
                 for s in sets:
@@ -146,7 +148,9 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
 def set_classes(found: DataFrame) -> DataFrame:
     """(class, set_key, set_check, n, copies, text_hash, prefix, parts, grp): one row for each
     different set but the empty one. ``class`` is its smallest row, with its text's hash;
-    ``copies`` is the number of rows; ``grp`` is the smallest class of equal size and prefix."""
+    ``copies`` is the number of rows; ``grp`` is the smallest class of equal size and prefix.
+    Prefixes are compared by their hash: should two agree by chance, a group has a member more to
+    verify."""
     classes = found.where("n > 0").groupBy("set_key", "set_check", "n").agg(
         F.min(F.struct("row", "text_hash", "prefix", "parts")).alias("first"),
         F.count("*").alias("copies"),
@@ -155,18 +159,21 @@ def set_classes(found: DataFrame) -> DataFrame:
         classes.select(
             F.col("first.row").alias("class"), "set_key", "set_check", "n", "copies",
             "first.text_hash", "first.prefix", "first.parts",
+            F.xxhash64("first.prefix").alias("prefix_hash"),
         ),
         "set-classes",
     )
-    groups = classes.groupBy("n", "prefix").agg(F.min("class").alias("grp"), F.count("*").alias("members"))
+    groups = classes.groupBy("n", "prefix_hash").agg(
+        F.min("class").alias("grp"), F.count("*").alias("members")
+    )
     shared = stage(
         groups.where("members > 1").select(
-            F.col("n").alias("group_n"), F.col("prefix").alias("group_prefix"), "grp"
+            F.col("n").alias("group_n"), F.col("prefix_hash").alias("group_hash"), "grp"
         ),
         "prefix-groups",
     )
     joined = classes.join(
-        shared, (F.col("n") == F.col("group_n")) & (F.col("prefix") == F.col("group_prefix")), "left"
+        shared, (F.col("n") == F.col("group_n")) & (F.col("prefix_hash") == F.col("group_hash")), "left"
     )
     return joined.select(
         "class", "set_key", "set_check", "n", "copies", "text_hash", "prefix", "parts",
@@ -175,36 +182,53 @@ def set_classes(found: DataFrame) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(class, n, pos, shingle, parts), one row for each shingle of a prefix."""
-    zipped = F.arrays_zip("prefix", "parts")
-    rows = classes.select("class", "n", F.posexplode(zipped).alias("pos", "x"))
-    return rows.select("class", "n", "pos", F.col("x.prefix").alias("shingle"), F.col("x.parts").alias("parts"))
+    """(shingle, part, place, class), one row for each shingle of a prefix.
+
+    ``place`` packs the size of the set, the position in it, and whether the list has parts.
+    """
+    rows = classes.select("class", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "x"))
+    many = (F.col("x.parts") > 1).cast("long")
+    return rows.select(
+        F.col("x.prefix").alias("shingle"),
+        F.pmod(F.xxhash64("class"), F.col("x.parts")).cast("int").alias("part"),
+        (F.shiftleft("n", 32) + F.col("pos") * 2 + many).alias("place"), "class",
+    )
+
+
+def _size(place) -> Column:
+    return F.shiftright(place, 32)
+
+
+def _position(place) -> Column:
+    return F.shiftright(place.bitwiseAND(F.lit(0xFFFFFFFF)), 1)
+
+
+def _in_parts(place) -> Column:
+    return place.bitwiseAND(F.lit(1)) == 1
 
 
 def shared_postings(classes: DataFrame) -> DataFrame:
-    """(shingle, part, parts, me, other): prefixes of the groups, as far as another group has the
-    shingle. ``me`` has n, pos and class; ``other`` is the neighbour before in the list, which is
+    """(shingle, part, place, class, other): prefixes of the groups, as far as another group has
+    the shingle. ``other`` has place and class of the neighbour before in the list, which is
     sorted by size and cut into parts."""
-    me = F.struct("n", "pos", "class")
-    rows = _postings(classes.where("class = grp")).withColumn(
-        "part", F.pmod(F.xxhash64("class"), F.col("parts"))
-    )
-    order = Window.partitionBy("shingle", "part").orderBy("n", "class")
-    walked = rows.select(
-        "shingle", "part", "parts", me.alias("me"), F.lag(me).over(order).alias("other"),
+    order = Window.partitionBy("shingle", "part").orderBy("place", "class")
+    walked = _postings(classes.where("class = grp")).select(
+        "shingle", "part", "place", "class",
+        F.lag(F.struct("place", "class")).over(order).alias("other"),
         F.lead("class").over(order).alias("next"),
     )
-    return walked.where("other is not null or next is not null or parts > 1").drop("next")
+    shared = F.col("other").isNotNull() | F.col("next").isNotNull() | _in_parts(F.col("place"))
+    return walked.where(shared).drop("next")
 
 
-def _may_link(like: Similarity, left: str, right: str):
+def _may_link(like: Similarity, left, right) -> Column:
     """Whether sizes and the places of a shared shingle allow two sets to be alike.
 
-    ``left`` and ``right`` have n and pos. For the first shingle that both share, the rest
-    behind the places bounds what they have in common.
+    For the first shingle that both share, what is left behind the places bounds what they have
+    in common.
     """
-    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    common = 1 + F.least(n - F.col(f"{left}.pos") - 1, m - F.col(f"{right}.pos") - 1)
+    n, m = _size(left), _size(right)
+    common = 1 + F.least(n - _position(left) - 1, m - _position(right) - 1)
     fits = 100 * F.least(n, m) >= like.percent * F.greatest(n, m)
     return fits & ((100 + like.percent) * common >= like.percent * (n + m))
 
@@ -218,29 +242,30 @@ def first_pairs(lists: DataFrame, classes: DataFrame, like: Similarity) -> DataF
     The centres of a list's parts make a list again. The number of pairs grows with the
     postings, whatever the length of a list.
     """
-    central = lists.groupBy(F.col("me.class").alias("c")).agg(F.count("*").alias("shared")).join(
-        classes.select("class", "copies"), F.col("c") == F.col("class")
+    central = lists.groupBy(F.col("class").alias("c")).agg(F.count("*").alias("shared")).join(
+        classes.select(F.col("class").alias("known"), "copies"), F.col("c") == F.col("known")
     )
-    ranked = lists.join(central, F.col("me.class") == F.col("c")).select(
-        "shingle", "part", "parts", F.struct("copies", "shared", "me").alias("rank")
+    ranked = lists.join(central, F.col("class") == F.col("c")).select(
+        "shingle", "part", F.struct("copies", "shared", "class", "place").alias("rank")
     )
     best = ranked.groupBy(F.col("shingle").alias("s"), F.col("part").alias("p")).agg(
-        F.max("rank").alias("best"), F.first("parts").alias("n_parts")
+        F.max("rank").alias("best")
     )
     best = stage(best, "centres")
     around = lists.join(best, (F.col("shingle") == F.col("s")) & (F.col("part") == F.col("p"))).select(
-        "me", F.col("best.me").alias("other")
+        "place", "class", F.struct("best.place", "best.class").alias("other")
     )
-    across = best.where("n_parts > 1").select(
-        F.col("best.me").alias("me"),
-        F.lag("best.me").over(Window.partitionBy("s").orderBy("best")).alias("other"),
+    centre = F.struct("best.place", "best.class")
+    across = best.where(_in_parts(F.col("best.place"))).select(
+        F.col("best.place").alias("place"), F.col("best.class").alias("class"),
+        F.lag(centre).over(Window.partitionBy("s").orderBy("best")).alias("other"),
     )
-    near = lists.select("me", "other").unionByName(around).unionByName(across)
-    tried = near.where("other is not null and me.class <> other.class").where(
-        _may_link(like, "me", "other")
+    near = lists.select("place", "class", "other").unionByName(around).unionByName(across)
+    tried = near.where("other is not null and class <> other.class").where(
+        _may_link(like, F.col("place"), F.col("other.place"))
     )
     between = tried.select(
-        F.least("me.class", "other.class").alias("a"), F.greatest("me.class", "other.class").alias("b")
+        F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")
     )
     members = classes.where("class <> grp").select(F.col("grp").alias("a"), F.col("class").alias("b"))
     return between.unionByName(members).distinct()
@@ -263,7 +288,7 @@ def needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Sim
         wanted = np.unpackbits(packed).astype(bool)
         for whole in batches:
             batch = whole.filter(pa.array(wanted[whole.column(1).to_numpy() % FILTER_BITS]))
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, PART_BYTES):
                 sets = [s for s in text_shingles(part.column(0), like.k) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -313,13 +338,13 @@ def remaining_pairs(
     Components are those of the first pass. Only shingles that stand in several of them are
     looked at. Members of a group meet others on their own now.
     """
-    leaders = lists.select("shingle", F.col("me.class").alias("class"), "me.n", "me.pos")
-    members = _postings(classes.where("class <> grp")).select("shingle", "class", "n", "pos")
+    leaders = lists.select("shingle", "place", "class")
+    members = _postings(classes.where("class <> grp")).select("shingle", "place", "class")
     posts = leaders.unionByName(_with_leaders(members, classes, leaders)).join(
         parts, F.col("class") == F.col("node"), "left"
     )
     posts = stage(
-        posts.select("shingle", "class", "n", "pos", F.coalesce("component", "class").alias("component")),
+        posts.select("shingle", "place", "class", F.coalesce("component", "class").alias("component")),
         "postings-left",
     )
     mixed = posts.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -331,7 +356,7 @@ def remaining_pairs(
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.class") < F.col("y.class"))
         & (F.col("x.component") != F.col("y.component"))
-        & _may_link(like, "x", "y"),
+        & _may_link(like, F.col("x.place"), F.col("y.place")),
     )
     pairs = met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
     known = tried.select(F.col("a").alias("known_a"), F.col("b").alias("known_b"))
@@ -343,7 +368,7 @@ def _with_leaders(members: DataFrame, classes: DataFrame, leaders: DataFrame) ->
     grouped = classes.where("class <> grp").select(F.col("grp").alias("led")).distinct()
     led = classes.join(grouped, F.col("class") == F.col("led"), "semi")
     known = leaders.select(F.col("class").alias("c"), F.col("shingle").alias("s"))
-    alone = _postings(led).select("shingle", "class", "n", "pos").join(
+    alone = _postings(led).select("shingle", "place", "class").join(
         known, (F.col("class") == F.col("c")) & (F.col("shingle") == F.col("s")), "anti"
     )
     return members.unionByName(alone)
