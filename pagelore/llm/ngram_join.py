@@ -58,37 +58,35 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 def shingle_counts(docs: DataFrame, like: Similarity) -> np.ndarray:
     """In how many documents the shingles of each bucket stand, over all documents.
 
-    Tasks count for themselves and are added up in a tree; each result has the same fixed size.
+    Every task counts into a table of one fixed size; the tables are added up in two levels.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
         for batch in batches:
             for part in slices(batch, 0, PART_BYTES):
                 sets = text_shingles(part.column(0), like.k)
                 counts += np.bincount(_bucket(np.concatenate(sets)), minlength=len(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([_packed(counts)], pa.binary())], ["counts"])
-
-    packed = docs.select(F.col("text").cast("string")).mapInArrow(run, "counts binary")
-    partial = packed.rdd.map(lambda row: _unpacked(row[0]))
-    if partial.getNumPartitions() == 0:
-        return np.zeros(1 << BUCKET_BITS, dtype=np.uint32)
-    return partial.treeReduce(_added, depth=2)
-
-
-def _packed(counts: np.ndarray) -> bytes:
-    return np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()
+        yield _packed(counts)
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column(0):
+                counts += np.frombuffer(raw.as_buffer(), dtype="<u4")
+        yield _packed(counts)
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, dtype="<u4").copy()
+    partial = stage(docs.select(F.col("text").cast("string")).mapInArrow(count, "counts binary"), "shingle-counts")
+    width = max(1, round(partial.count() ** 0.5))
+    sums = stage(partial.repartition(width).mapInArrow(add, "counts binary"), "shingle-counts")
+    whole = sums.repartition(1).mapInArrow(add, "counts binary").first()
+    return np.frombuffer(whole["counts"], dtype="<u4").copy()
 
 
-def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sum of counts that stays at the greatest value instead of running over."""
-    total = a + b
-    total[total < a] = 0xFFFFFFFF
-    return total
+def _packed(counts: np.ndarray) -> pa.RecordBatch:
+    """One row; a count that runs over stays at the greatest value."""
+    raw = np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()
+    return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["counts"])
 
 
 def _set_key(shingles: np.ndarray) -> int:
@@ -182,16 +180,18 @@ def set_classes(found: DataFrame) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(shingle, part, place, class), one row for each shingle of a prefix.
+    """(shingle, part, place, copies, class), one row for each shingle of a prefix.
 
     ``place`` packs the size of the set, the position in it, and whether the list has parts.
     """
-    rows = classes.select("class", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "x"))
+    rows = classes.select(
+        "class", "n", "copies", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "x")
+    )
     many = (F.col("x.parts") > 1).cast("long")
     return rows.select(
         F.col("x.prefix").alias("shingle"),
         F.pmod(F.xxhash64("class"), F.col("x.parts")).cast("int").alias("part"),
-        (F.shiftleft("n", 32) + F.col("pos") * 2 + many).alias("place"), "class",
+        (F.shiftleft("n", 32) + F.col("pos") * 2 + many).alias("place"), "copies", "class",
     )
 
 
@@ -207,18 +207,29 @@ def _in_parts(place) -> Column:
     return place.bitwiseAND(F.lit(1)) == 1
 
 
-def shared_postings(classes: DataFrame) -> DataFrame:
-    """(shingle, part, place, class, other): prefixes of the groups, as far as another group has
-    the shingle. ``other`` has place and class of the neighbour before in the list, which is
-    sorted by size and cut into parts."""
-    order = Window.partitionBy("shingle", "part").orderBy("place", "class")
+def shared_postings(classes: DataFrame, like: Similarity) -> DataFrame:
+    """(shingle, part, place, class, other, centre): prefixes of the groups, as far as the list
+    of a shingle can hold two sets that are alike.
+
+    ``other`` has place and class of the neighbour before in the list, which is sorted by size
+    and cut into parts; ``centre`` of the group with the most copies and then the smallest
+    position: edited copies have their own shingles before those of their original. The
+    smaller of two similar sets has a shared shingle so near to its start (``early``) that a
+    list without such a place is left out.
+    """
+    list_of = Window.partitionBy("shingle", "part")
+    order = list_of.orderBy("place", "class")
+    me = F.struct("place", "class")
+    size, position = _size(F.col("place")), _position(F.col("place"))
+    early = (100 + like.percent) * (size - position) >= 2 * like.percent * size
     walked = _postings(classes.where("class = grp")).select(
-        "shingle", "part", "place", "class",
-        F.lag(F.struct("place", "class")).over(order).alias("other"),
-        F.lead("class").over(order).alias("next"),
+        "shingle", "part", "place", "class", F.lag(me).over(order).alias("other"),
+        F.max(F.struct("copies", -position, "place", "class")).over(list_of).alias("best"),
+        F.max(early).over(list_of).alias("early"), F.count("*").over(list_of).alias("members"),
     )
-    shared = F.col("other").isNotNull() | F.col("next").isNotNull() | _in_parts(F.col("place"))
-    return walked.where(shared).drop("next")
+    useful = (F.col("early") & (F.col("members") > 1)) | _in_parts(F.col("place"))
+    centre = F.struct("best.place", "best.class").alias("centre")
+    return walked.where(useful).select("shingle", "part", "place", "class", "other", centre)
 
 
 def _may_link(like: Similarity, left, right) -> Column:
@@ -237,29 +248,18 @@ def first_pairs(lists: DataFrame, classes: DataFrame, like: Similarity) -> DataF
     """(a, b) classes to try first, so that most of what belongs together is one component.
 
     Tried are neighbours in the list of a shingle, every group of a list with the list's centre,
-    and members of a group with its first class. A centre has the most copies and then the
-    most shared shingles: edited copies link with their original rather than with each other.
-    The centres of a list's parts make a list again. The number of pairs grows with the
-    postings, whatever the length of a list.
+    and members of a group with its first class. Edited copies link with their original rather
+    than with each other. The centres of a list's parts make a list again. The number of pairs
+    grows with the postings, whatever the length of a list.
     """
-    central = lists.groupBy(F.col("class").alias("c")).agg(F.count("*").alias("shared")).join(
-        classes.select(F.col("class").alias("known"), "copies"), F.col("c") == F.col("known")
-    )
-    ranked = lists.join(central, F.col("class") == F.col("c")).select(
-        "shingle", "part", F.struct("copies", "shared", "class", "place").alias("rank")
-    )
-    best = ranked.groupBy(F.col("shingle").alias("s"), F.col("part").alias("p")).agg(
-        F.max("rank").alias("best")
-    )
-    best = stage(best, "centres")
-    around = lists.join(best, (F.col("shingle") == F.col("s")) & (F.col("part") == F.col("p"))).select(
-        "place", "class", F.struct("best.place", "best.class").alias("other")
+    centres = lists.where(_in_parts(F.col("place"))).groupBy("shingle", "part").agg(
+        F.first("centre").alias("centre")
     )
-    centre = F.struct("best.place", "best.class")
-    across = best.where(_in_parts(F.col("best.place"))).select(
-        F.col("best.place").alias("place"), F.col("best.class").alias("class"),
-        F.lag(centre).over(Window.partitionBy("s").orderBy("best")).alias("other"),
+    across = centres.select(
+        F.col("centre.place").alias("place"), F.col("centre.class").alias("class"),
+        F.lag("centre").over(Window.partitionBy("shingle").orderBy("centre")).alias("other"),
     )
+    around = lists.select("place", "class", F.col("centre").alias("other"))
     near = lists.select("place", "class", "other").unionByName(around).unionByName(across)
     tried = near.where("other is not null and class <> other.class").where(
         _may_link(like, F.col("place"), F.col("other.place"))
@@ -348,7 +348,7 @@ def remaining_pairs(
         "postings-left",
     )
     mixed = posts.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = stage(mixed.where("low <> high").select(F.col("shingle").alias("mixed")), "mixed-shingles")
+    mixed = mixed.where("low <> high").select(F.col("shingle").alias("mixed"))
     left = stage(posts.join(mixed, F.col("shingle") == F.col("mixed"), "semi"), "postings-mixed")
     x, y = left.alias("x"), left.alias("y")
     met = x.join(
@@ -400,7 +400,7 @@ def _with_components(docs: DataFrame, like: Similarity) -> DataFrame:
     where a document has no shingles."""
     found = stage(prefixes(docs, like, shingle_counts(docs, like)), "prefixes")
     classes = stage(set_classes(found), "classes")
-    lists = stage(shared_postings(classes), "postings")
+    lists = stage(shared_postings(classes, like), "postings")
     pairs = stage(first_pairs(lists, classes, like), "pairs")
     sets = stage(needed_sets(docs, classes, pairs, like), "sets")
     links = stage(verified(pairs, sets, like), "links")
