@@ -29,6 +29,9 @@ from pagelore.llm.texthash import slices, text_shingles
 BUCKET_BITS = 20
 #: Bits of the filter that says whose sets are needed; when it fills up, more sets are kept.
 FILTER_BITS = 1 << 20
+#: A set's signature has a bit for each of so many classes of shingles: whether it holds an odd
+#: number of them. Signatures differ in no more bits than sets in shingles.
+SIGNATURE_BITS = 512
 #: The list of a shingle is cut into parts by hash, one more for each time that its bucket is so
 #: many times as full as the mean, so that no task gets the whole list of a hot one.
 HOT = 8
@@ -98,8 +101,14 @@ def _set_check(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), seed=1) >> 1
 
 
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    odd = np.bincount(shingles.view(np.int64) & (SIGNATURE_BITS - 1), minlength=SIGNATURE_BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame:
-    """(row, doc_id, text_hash, n, set_key, set_check, prefix, parts), one row a document.
+    """(row, doc_id, text_hash, n, set_key, set_check, prefix, parts, signature), one row a
+    document.
 
     Both hashes together name the set; the prefix has its rarest shingles, rarest first, and
     ``parts`` says into how many parts the list of each is cut.
@@ -129,8 +138,12 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
                         pa.array([_set_check(s) for s in sets], pa.int64()),
                         pa.ListArray.from_arrays(edges, pa.array(np.concatenate(firsts))),
                         pa.ListArray.from_arrays(edges, pa.array(np.concatenate(parts))),
+                        pa.array([_signature(s) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    [
+                        "row", "doc_id", "text_hash", "n", "set_key", "set_check", "prefix", "parts",
+                        "signature",
                     ],
-                    ["row", "doc_id", "text_hash", "n", "set_key", "set_check", "prefix", "parts"],
                 )
                 row += part.num_rows
 
@@ -139,7 +152,7 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
     return wanted.mapInArrow(
         run,
         "row long, doc_id long, text_hash long, n long, set_key long, set_check long,"
-        " prefix array<long>, parts array<int>",
+        " prefix array<long>, parts array<int>, signature array<long>",
     )
 
 
@@ -150,13 +163,13 @@ def set_classes(found: DataFrame) -> DataFrame:
     Prefixes are compared by their hash: should two agree by chance, a group has a member more to
     verify."""
     classes = found.where("n > 0").groupBy("set_key", "set_check", "n").agg(
-        F.min(F.struct("row", "text_hash", "prefix", "parts")).alias("first"),
+        F.min(F.struct("row", "text_hash", "prefix", "parts", "signature")).alias("first"),
         F.count("*").alias("copies"),
     )
     classes = stage(
         classes.select(
             F.col("first.row").alias("class"), "set_key", "set_check", "n", "copies",
-            "first.text_hash", "first.prefix", "first.parts",
+            "first.text_hash", "first.prefix", "first.parts", "first.signature",
             F.xxhash64("first.prefix").alias("prefix_hash"),
         ),
         "set-classes",
@@ -174,7 +187,7 @@ def set_classes(found: DataFrame) -> DataFrame:
         shared, (F.col("n") == F.col("group_n")) & (F.col("prefix_hash") == F.col("group_hash")), "left"
     )
     return joined.select(
-        "class", "set_key", "set_check", "n", "copies", "text_hash", "prefix", "parts",
+        "class", "set_key", "set_check", "n", "copies", "text_hash", "prefix", "parts", "signature",
         F.coalesce("grp", "class").alias("grp"),
     )
 
@@ -268,7 +281,27 @@ def first_pairs(lists: DataFrame, classes: DataFrame, like: Similarity) -> DataF
         F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")
     )
     members = classes.where("class <> grp").select(F.col("grp").alias("a"), F.col("class").alias("b"))
-    return between.unionByName(members).distinct()
+    return plausible(between.unionByName(members).distinct(), classes, like)
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFrame:
+    """The pairs (a, b) whose signatures allow them to be alike; no alike pair is lost.
+
+    Alike sets of sizes n and m differ in at most n + m - 2 * least common shingles.
+    """
+    x, y = (
+        classes.select(
+            F.col("class").alias(f"{side}_class"), F.col("n").alias(f"{side}_n"),
+            F.col("signature").alias(f"{side}_bits"),
+        )
+        for side in "xy"
+    )
+    both = pairs.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class"))
+    sizes = F.col("x_n") + F.col("y_n")
+    allowed = sizes * (100 - like.percent) / (100 + like.percent)
+    unlike = F.zip_with("x_bits", "y_bits", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differing = F.aggregate(unlike, F.lit(0), lambda done, n: done + n)
+    return both.where(differing <= F.floor(allowed + 1e-6)).select("a", "b")
 
 
 def needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
@@ -360,7 +393,8 @@ def remaining_pairs(
     )
     pairs = met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
     known = tried.select(F.col("a").alias("known_a"), F.col("b").alias("known_b"))
-    return pairs.join(known, (F.col("a") == F.col("known_a")) & (F.col("b") == F.col("known_b")), "anti")
+    new = pairs.join(known, (F.col("a") == F.col("known_a")) & (F.col("b") == F.col("known_b")), "anti")
+    return plausible(new, classes, like)
 
 
 def _with_leaders(members: DataFrame, classes: DataFrame, leaders: DataFrame) -> DataFrame:
