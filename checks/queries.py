@@ -302,7 +302,7 @@ def src_text_lines(spark, sf_dir):
 
 @query
 def src_pages_json(spark, sf_dir):
-    return readers.read_pages_json(spark, _json_pages(spark, sf_dir, "none"))
+    return readers.read_pages_json(spark, _json_pages(spark, sf_dir, "none"), infer=False)
 
 
 @query

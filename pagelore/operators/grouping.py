@@ -91,8 +91,10 @@ def page_bundles(pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame
     each input; staged in the shared folder, they are a plain side of the join with pages.
     That join is a sort-merge join, so that the work per page is spread evenly.
     """
+    # Links are collected in a struct, as a list would leave out null ones.
+    links = _plain_list(wiki_links, F.struct("wikiLink"), "wikilinks")
     lists = _plain_list(annotations, F.struct(*_TRIPLE), "triples").join(
-        _plain_list(wiki_links, F.col("wikiLink"), "wikilinks"), "url"
+        links.withColumn("wikilinks", F.col("wikilinks.wikiLink")), "url"
     )
     return pages.select("url", "content").join(
         cut_lineage(lists, "page-lists").hint("merge"), "url"

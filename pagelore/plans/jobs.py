@@ -54,9 +54,9 @@ def compact_parquet(
 
 
 def raw_pages_to_parquet(
-    spark: SparkSession, source: str, target: str, infer: bool = False
+    spark: SparkSession, source: str, target: str, fixed: bool = False
 ) -> None:
-    writers.write_parquet(readers.read_pages_json(spark, source, infer), target)
+    writers.write_parquet(readers.read_pages_json(spark, source, infer=not fixed), target)
 
 
 def quads_to_parquet(
@@ -79,14 +79,14 @@ def wiki_links_to_parquet(
 
 
 def extract_wiki_paragraphs(
-    spark: SparkSession, source: str, target: str, on_bad: str = "drop"
+    spark: SparkSession, source: str, target: str, on_bad: str = "fail"
 ) -> None:
     pages = readers.read_page_lines(spark, source, on_bad)
     writers.write_parquet(wiki_link_paragraphs(pages), target)
 
 
 def extract_tweet_links(
-    spark: SparkSession, source: str, target: str, on_bad: str = "drop"
+    spark: SparkSession, source: str, target: str, on_bad: str = "fail"
 ) -> None:
     pages = readers.read_page_lines(spark, source, on_bad)
     writers.write_parquet(tweet_links(pages), target)

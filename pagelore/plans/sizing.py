@@ -9,16 +9,14 @@ from pyspark.sql import SparkSession
 from pagelore.sources.writers import input_bytes
 
 # Input files are compressed; this much of them makes a partition that sorts in memory.
-# Past the upper limit partitions grow instead, and sorting spills to disk.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 _SETTING = "spark.sql.shuffle.partitions"
 
 
 def shuffle_partitions(spark: SparkSession, *paths: str) -> int:
     """Enough partitions for the files under all paths, never fewer than the session has."""
     needed = math.ceil(sum(input_bytes(spark, path) for path in paths) / BYTES_PER_PARTITION)
-    return max(int(spark.conf.get(_SETTING)), min(needed, MAX_PARTITIONS))
+    return max(int(spark.conf.get(_SETTING)), needed)
 
 
 @contextmanager

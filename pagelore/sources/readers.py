@@ -1,11 +1,15 @@
 """Readers of the raw dumps. Every path may be a folder or a glob; gzip is read as it is."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelore import schemas
 
 
+# Spark's own default leaves out or nulls lines with texts of more than 20 million characters.
+LONGEST_TEXT = 2**31 - 1
+
+
 def _check(on_bad: str) -> None:
     if on_bad not in ("fail", "drop"):
         raise ValueError(f"on_bad must be fail or drop, not {on_bad!r}")
@@ -31,31 +35,49 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     """Text lines as column ``value``.
 
     Spark already cuts splittable files into enough pieces for the cluster. Only for few
-    large gzip files is ``min_partitions`` worth its shuffle.
+    large gzip files is ``min_partitions`` worth its shuffle; more pieces stay as they are.
     """
     lines = spark.read.text(path)
-    return lines if min_partitions is None else lines.repartition(min_partitions)
+    if min_partitions is None or lines.rdd.getNumPartitions() >= min_partitions:
+        return lines
+    return lines.repartition(min_partitions)
+
 
+def json_lines(reader):
+    """A batch or stream reader for JSON lines with texts of any length."""
+    return reader.option("maxStringLen", LONGEST_TEXT)
 
-def read_pages_json(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """JSON lines -> url, content; with ``infer`` all fields, at the price of a second read."""
-    return spark.read.json(path) if infer else spark.read.schema(schemas.PAGES).json(path)
+
+def read_pages_json(
+    spark: SparkSession, path: str, infer: bool = True, on_bad: str = "fail"
+) -> DataFrame:
+    """JSON lines with all their fields, at the price of a second read; without ``infer`` only
+    url and content. A line that is no JSON fails the job or is left out."""
+    _check(on_bad)
+    reader = json_lines(spark.read).option("mode", "FAILFAST" if on_bad == "fail" else "DROPMALFORMED")
+    return reader.json(path) if infer else reader.schema(schemas.PAGES).json(path)
 
 
-def read_page_lines(spark: SparkSession, path: str, on_bad: str = "drop") -> DataFrame:
-    """JSON lines -> content, url. A bad line fails the job or is left out."""
+def read_page_lines(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
+    """JSON lines -> content, url. A line that is no JSON or lacks a field fails the job or is
+    left out."""
     _check(on_bad)
-    schema = "content string, url string"
-    if on_bad == "fail":
-        pages = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-        return pages.select(*(_required(name) for name in ("content", "url")))
-    pages = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    return pages.where(F.col("content").isNotNull() & F.col("url").isNotNull())
+    mode = "FAILFAST" if on_bad == "fail" else "PERMISSIVE"
+    pages = json_lines(spark.read).schema("content string, url string").option("mode", mode).json(path)
+    return complete_pages(pages, on_bad)
 
 
-def _required(name: str):
-    missing = F.raise_error(F.lit(f"page line without {name}")).cast("string")
-    return F.coalesce(F.col(name), missing).alias(name)
+def complete_pages(pages: DataFrame, on_bad: str) -> DataFrame:
+    """Pages that have a url and content; others fail the job or are left out."""
+    complete = F.col("content").isNotNull() & F.col("url").isNotNull()
+    return _only(pages, complete, on_bad, F.lit("page line without url or content"))
+
+
+def _only(rows: DataFrame, good: Column, on_bad: str, problem: Column) -> DataFrame:
+    """Rows that are good. Failing is a condition of its own: a column can be pruned away."""
+    if on_bad == "drop":
+        return rows.where(good)
+    return rows.where(F.when(good, True).otherwise(F.raise_error(problem).cast("boolean")))
 
 
 def read_wiki_links_tsv(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
@@ -71,14 +93,9 @@ def split_wiki_links(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     """The same for a table of text lines (column ``value``)."""
     _check(on_bad)
     names = schemas.WIKI_LINKS.names
-    fields = lines.select("value", F.split(F.rtrim("value", F.lit("\t")), "\t").alias("fields"))
-    complete = F.size("fields") == len(names)
-    if on_bad == "drop":
-        fields = fields.where(complete)
-    else:
-        problem = F.concat(F.lit("not three fields: "), F.col("value"))
-        bad = F.raise_error(problem).cast("array<string>")
-        fields = fields.select(F.when(complete, F.col("fields")).otherwise(bad).alias("fields"))
+    complete = F.rtrim("value", F.lit("\t")).rlike(r"\A[^\t]*\t[^\t]*\t[^\t]*\z")
+    good = _only(lines, complete, on_bad, F.concat(F.lit("not three fields: "), F.col("value")))
+    fields = good.select(F.split(F.rtrim("value", F.lit("\t")), "\t").alias("fields"))
     return fields.select(*(F.col("fields")[i].alias(name) for i, name in enumerate(names)))
 
 

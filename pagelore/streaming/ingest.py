@@ -12,7 +12,7 @@ from pagelore import schemas
 from pagelore.operators.enrichment import parse_feeds
 from pagelore.operators.extraction import tweet_links, wiki_link_paragraphs
 from pagelore.operators.quads import annotations_from_quads
-from pagelore.sources.readers import split_wiki_links
+from pagelore.sources.readers import complete_pages, json_lines, split_wiki_links
 
 
 def append_new(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -39,13 +39,15 @@ def new_wiki_links(spark: SparkSession, source: str, on_bad: str = "fail") -> Da
     return split_wiki_links(spark.readStream.text(source), on_bad)
 
 
-def new_wiki_paragraphs(spark: SparkSession, source: str) -> DataFrame:
-    return wiki_link_paragraphs(_new_pages(spark, source))
+def new_wiki_paragraphs(spark: SparkSession, source: str, on_bad: str = "fail") -> DataFrame:
+    return wiki_link_paragraphs(_new_pages(spark, source, on_bad))
 
 
-def new_tweet_links(spark: SparkSession, source: str) -> DataFrame:
-    return tweet_links(_new_pages(spark, source))
+def new_tweet_links(spark: SparkSession, source: str, on_bad: str = "fail") -> DataFrame:
+    return tweet_links(_new_pages(spark, source, on_bad))
 
 
-def _new_pages(spark: SparkSession, source: str) -> DataFrame:
-    return spark.readStream.schema(schemas.PAGES).json(source)
+def _new_pages(spark: SparkSession, source: str, on_bad: str) -> DataFrame:
+    mode = "FAILFAST" if on_bad == "fail" else "PERMISSIVE"
+    reader = json_lines(spark.readStream).schema(schemas.PAGES).option("mode", mode)
+    return complete_pages(reader.json(source), on_bad)

@@ -47,8 +47,8 @@ def test_lines(spark, tmp_path):
 
 def test_pages_json(spark, tmp_path):
     path = put(tmp_path / "a.json", json.dumps({"url": "u", "content": "c", "more": 1}) + "\n")
-    assert readers.read_pages_json(spark, path).columns == ["url", "content"]
-    inferred = readers.read_pages_json(spark, path, infer=True)
+    assert readers.read_pages_json(spark, path, infer=False).columns == ["url", "content"]
+    inferred = readers.read_pages_json(spark, path)
     assert dict(inferred.dtypes) == {"content": "string", "more": "bigint", "url": "string"}
 
 
@@ -57,7 +57,7 @@ PAGE_LINES = ['{"url": "u1", "content": "c1"}', '{"url": "u2"}', "{broken", '{"c
 
 def test_bad_page_lines_are_dropped(spark, tmp_path):
     path = put(tmp_path / "a.gz", "\n".join(PAGE_LINES))
-    assert rows(readers.read_page_lines(spark, path)) == [("c1", "u1")]
+    assert rows(readers.read_page_lines(spark, path, on_bad="drop")) == [("c1", "u1")]
 
 
 @pytest.mark.parametrize("bad", PAGE_LINES[1:])
@@ -149,3 +149,37 @@ def test_without_a_shared_folder(spark, monkeypatch):
     df = spark.range(10)
     assert staging.cut_lineage(df, "numbers") is df
     assert staging.fresh_path(spark, "x") != staging.fresh_path(spark, "x")
+
+
+def test_failing_cannot_be_pruned(spark, tmp_path):
+    path = str(tmp_path / "bad.tsv")
+    with open(path, "w") as f:
+        f.write("u\tt\tw\nonly one\n")
+    for run in (lambda df: df.count(), lambda df: df.select("url").collect()):
+        with pytest.raises(Exception, match="not three fields"):
+            run(readers.read_wiki_links_tsv(spark, path))
+    path = str(tmp_path / "bad.json")
+    with open(path, "w") as f:
+        f.write('{"url": "u1", "content": "c1"}\n{"url": "u2"}\n')
+    for run in (lambda df: df.count(), lambda df: df.select("url").collect()):
+        with pytest.raises(Exception, match="without url or content"):
+            run(readers.read_page_lines(spark, path))
+
+
+def test_pages_of_any_length_are_read(spark, tmp_path):
+    path = str(tmp_path / "long.json")
+    with open(path, "w") as f:
+        f.write('{"url": "u1", "content": "' + "x" * 25_000_000 + '", "more": 1}\n')
+    for pages in (
+        readers.read_page_lines(spark, path),
+        readers.read_pages_json(spark, path),
+        readers.read_pages_json(spark, path, infer=False),
+    ):
+        assert pages.selectExpr("length(content)").first()[0] == 25_000_000
+
+
+def test_more_partitions_than_asked_for_stay(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(20).selectExpr("cast(id as string)").repartition(20).write.text(path)
+    before = spark.read.text(path).rdd.getNumPartitions()
+    assert readers.read_lines(spark, path, min_partitions=2).rdd.getNumPartitions() == before
