@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from pagelore.llm.texthash import slices, text_shingles
 
 #: The global order counts shingles in so many buckets; the table has a fixed size of 4 MB.
 BUCKET_BITS = 20
-#: Bits of the filter that says whose sets are needed; when it fills up, more sets are kept.
+#: Bits of the filter that says whose texts are needed; when it fills up, more texts are kept.
 FILTER_BITS = 1 << 20
 #: A set's signature has a bit for each of so many classes of shingles: whether it holds an odd
 #: number of them. Signatures differ in no more bits than sets in shingles.
@@ -157,19 +158,20 @@ def prefixes(docs: DataFrame, like: Similarity, counts: np.ndarray) -> DataFrame
 
 
 def set_classes(found: DataFrame) -> DataFrame:
-    """(class, set_key, set_check, n, copies, text_hash, prefix, parts, grp): one row for each
-    different set but the empty one. ``class`` is its smallest row, with its text's hash;
-    ``copies`` is the number of rows; ``grp`` is the smallest class of equal size and prefix.
+    """(class, set_key, set_check, n, copies, doc_key, text_hash, prefix, parts, signature, grp):
+    one row for each different set but the empty one. ``class`` is its smallest row, with that
+    row's id and text hash; ``copies`` is the number of rows; ``grp`` is the smallest class of
+    equal size and prefix.
     Prefixes are compared by their hash: should two agree by chance, a group has a member more to
     verify."""
     classes = found.where("n > 0").groupBy("set_key", "set_check", "n").agg(
-        F.min(F.struct("row", "text_hash", "prefix", "parts", "signature")).alias("first"),
+        F.min(F.struct("row", "doc_id", "text_hash", "prefix", "parts", "signature")).alias("first"),
         F.count("*").alias("copies"),
     )
     classes = stage(
         classes.select(
             F.col("first.row").alias("class"), "set_key", "set_check", "n", "copies",
-            "first.text_hash", "first.prefix", "first.parts", "first.signature",
+            _doc_key("first.doc_id"), "first.text_hash", "first.prefix", "first.parts", "first.signature",
             F.xxhash64("first.prefix").alias("prefix_hash"),
         ),
         "set-classes",
@@ -187,8 +189,8 @@ def set_classes(found: DataFrame) -> DataFrame:
         shared, (F.col("n") == F.col("group_n")) & (F.col("prefix_hash") == F.col("group_hash")), "left"
     )
     return joined.select(
-        "class", "set_key", "set_check", "n", "copies", "text_hash", "prefix", "parts", "signature",
-        F.coalesce("grp", "class").alias("grp"),
+        "class", "set_key", "set_check", "n", "copies", "doc_key", "text_hash", "prefix", "parts",
+        "signature", F.coalesce("grp", "class").alias("grp"),
     )
 
 
@@ -304,52 +306,68 @@ def plausible(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFra
     return both.where(differing <= F.floor(allowed + 1e-6)).select("a", "b")
 
 
-def needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
-    """(class, shingles): the whole sets of the classes in (a, b).
+def needed_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(class, zipped): the whole texts of the classes in (a, b), compressed.
 
-    A fixed-size filter tells the tasks which texts these are, so no other text is cut into
-    shingles or moved; texts that pass it by chance do no harm.
+    Texts are moved instead of sets, since hashes do not compress. A class is found by its first
+    document's id and text. A fixed-size filter tells the tasks which documents these are, so no
+    other text is moved; documents that pass it by chance do no harm.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    wanted = classes.join(ends, F.col("class") == F.col("end"), "semi")
-    bits = wanted.select(F.pmod("text_hash", F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
+    wanted = classes.join(ends, F.col("class") == F.col("end"), "semi").select(
+        "class", F.col("doc_key").alias("k"), F.col("text_hash").alias("h")
+    )
+    bits = wanted.select(F.pmod(F.xxhash64("k", "h"), F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
     marked = np.zeros(FILTER_BITS, dtype=bool)
     marked[bits.toArrow().column("bit").to_numpy()] = True
     packed = np.packbits(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(packed).astype(bool)
+        wanted, codec = np.unpackbits(packed).astype(bool), zstandard.ZstdCompressor()
         for whole in batches:
-            batch = whole.filter(pa.array(wanted[whole.column(1).to_numpy() % FILTER_BITS]))
+            batch = whole.filter(pa.array(wanted[whole.column(3).to_numpy() % FILTER_BITS]))
             for part in slices(batch, 0, PART_BYTES):
-                sets = [s for s in text_shingles(part.column(0), like.k) if len(s)]
+                zipped = pa.array([codec.compress(x.as_buffer()) for x in part.column(0)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([_set_key(s) for s in sets], pa.int64()),
-                        pa.array([_set_check(s) for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["set_key", "set_check", "shingles"],
+                    [part.column(1), part.column(2), zipped], ["doc_key", "text_hash", "zipped"]
                 )
 
     text = F.col("text").cast("string")
-    found = docs.where(text.isNotNull()).select(text, F.xxhash64(text).alias("text_hash")).mapInArrow(
-        run, "set_key long, set_check long, shingles binary"
+    named = docs.where(text.isNotNull()).select(
+        text.alias("text"), _doc_key("doc_id"), F.xxhash64(text).alias("text_hash")
     )
-    named = wanted.select("class", F.col("set_key").alias("k"), F.col("set_check").alias("c"))
-    both = found.join(named, (F.col("set_key") == F.col("k")) & (F.col("set_check") == F.col("c")))
-    return both.groupBy("class").agg(F.first("shingles").alias("shingles"))
+    found = named.withColumn("place", F.xxhash64("doc_key", "text_hash")).mapInArrow(
+        run, "doc_key long, text_hash long, zipped binary"
+    )
+    one = found.groupBy("doc_key", "text_hash").agg(F.first("zipped").alias("zipped"))
+    both = one.join(wanted, (F.col("doc_key") == F.col("k")) & (F.col("text_hash") == F.col("h")))
+    return both.select("class", "zipped")
+
+
+def _doc_key(doc_id: str) -> Column:
+    """The id with a value for null; with the text's hash it says which text is meant."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("doc_key")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = zstandard.ZstdDecompressor()
+
+        def shingles(zipped: pa.Scalar) -> np.ndarray:
+            raw = pa.array([codec.decompress(zipped.as_buffer())], pa.large_binary())
+            return text_shingles(raw.view(pa.large_string()), like.k)[0]
+
+        last = [(None, None), (None, None)]
         for batch in batches:
             hits = []
             for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(batch.column(3)[i].as_buffer(), dtype=np.uint64)
+                for side in (0, 1):  # pairs of one class follow each other
+                    name = batch.column(side)[i].as_py()
+                    if last[side][0] != name:
+                        last[side] = (name, shingles(batch.column(side + 2)[i]))
+                x, y = last[0][1], last[1][1]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 hits.append(like.alike(common, len(x), len(y)))
             mask = pa.array(hits, pa.bool_())
@@ -357,10 +375,10 @@ def verified(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"]
             )
 
-    left = sets.select(F.col("class").alias("left_class"), F.col("shingles").alias("left_set"))
-    right = sets.select(F.col("class").alias("right_class"), F.col("shingles").alias("right_set"))
+    left = texts.select(F.col("class").alias("left_class"), F.col("zipped").alias("left_text"))
+    right = texts.select(F.col("class").alias("right_class"), F.col("zipped").alias("right_text"))
     both = pairs.join(left, F.col("a") == F.col("left_class")).join(right, F.col("b") == F.col("right_class"))
-    return both.select("a", "b", "left_set", "right_set").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "left_text", "right_text").mapInArrow(run, "a long, b long")
 
 
 def remaining_pairs(
@@ -436,12 +454,12 @@ def _with_components(docs: DataFrame, like: Similarity) -> DataFrame:
     classes = stage(set_classes(found), "classes")
     lists = stage(shared_postings(classes, like), "postings")
     pairs = stage(first_pairs(lists, classes, like), "pairs")
-    sets = stage(needed_sets(docs, classes, pairs, like), "sets")
-    links = stage(verified(pairs, sets, like), "links")
+    texts = stage(needed_texts(docs, classes, pairs), "texts")
+    links = stage(verified(pairs, texts, like), "links")
     parts = connected_components(links)
     more = stage(remaining_pairs(lists, classes, parts, pairs, like), "pairs")
-    sets = stage(needed_sets(docs, classes, more, like), "sets")
-    parts = connected_components(links.unionByName(verified(more, sets, like)))
+    texts = stage(needed_texts(docs, classes, more), "texts")
+    parts = connected_components(links.unionByName(verified(more, texts, like)))
     named = classes.join(parts, F.col("class") == F.col("node"), "left").select(
         F.col("set_key").alias("k"), F.col("set_check").alias("c"),
         F.coalesce("component", "class").alias("component"),

@@ -211,6 +211,21 @@ def test_similar_components(spark, real, k, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, like)
 
 
+def test_near_duplicates_share_ids(spark):
+    """Rows are told apart by id and text: null ids, one id for all, and repeated rows."""
+    like = ngram_join.Similarity(3, 90)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join([*base[:i], *base[i + 1 :]]) for i in (0, 1, 78, 79)] + ["é ü x " * 30, " ".join(base)]
+    for ids in ([None] * 6, [5] * 6, [-1, None, 5, 5, None, -1]):
+        rows = [(d, t) for d, t in zip(ids, texts)] * 2
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        found = ngram_join.similar_components(table, like).collect()
+        assert sorted(r.n_shingles for r in found) == sorted(
+            len({tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)}) for _, t in rows
+        )
+        assert sum(r.stays for r in found) == 2
+
+
 def test_near_duplicates_odd_rows(docs, empty):
     like = ngram_join.Similarity(3, 90)
     assert ngram_join.similar_components(docs, like).count() == len(ODD)
