@@ -1,7 +1,8 @@
 """The jobs. Each one reads its inputs, transforms them and writes Parquet.
 
-``files`` is the number of output files of the compacting jobs; left out, it follows from
-the size of the input, so that the number of tasks grows with the data.
+``files`` is the number of output files of the compacting jobs, and of their tasks. Left out,
+jobs that parse use all tasks and merge their rows by size afterwards; compaction without
+parsing works the number out from the size of the input.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +27,14 @@ def transform_feeds(
     spark: SparkSession, source: str, target: str, files: int | None = None, escape: str = '"'
 ) -> None:
     feeds = parse_feeds(readers.read_feeds_csv(spark, source, escape=escape))
-    writers.write_parquet(_compacted(feeds, source, files), target)
+    writers.write_parquet(_merged(feeds, files), target)
 
 
 def urls_to_parquet(
     spark: SparkSession, source: str, target: str, files: int | None = None
 ) -> None:
     urls = readers.read_urls_csv(spark, source)
-    writers.write_parquet(_compacted(urls, source, files), target)
+    writers.write_parquet(_merged(urls, files), target)
 
 
 def transform_urls(spark: SparkSession, source: str, target: str) -> None:
@@ -48,9 +49,8 @@ def transform_anchors(spark: SparkSession, source: str, target: str) -> None:
 def compact_parquet(
     spark: SparkSession, source: str, target: str, files: int | None = None
 ) -> None:
-    writers.write_parquet(
-        _compacted(readers.read_parquet(spark, source), source, files), target
-    )
+    rows = readers.read_parquet(spark, source)
+    writers.write_parquet(writers.compact(rows, files or writers.file_count(spark, source)), target)
 
 
 def raw_pages_to_parquet(
@@ -125,5 +125,5 @@ def knowledge_base(
     return repeat_copies(substituted)
 
 
-def _compacted(df: DataFrame, source: str, files: int | None) -> DataFrame:
-    return writers.compact(df, files or writers.file_count(df.sparkSession, source))
+def _merged(df: DataFrame, files: int | None) -> DataFrame:
+    return writers.compact(df, files) if files else writers.merge_small(df)

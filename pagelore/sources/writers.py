@@ -33,3 +33,12 @@ def compact(df: DataFrame, files: int) -> DataFrame:
     with the data (:func:`file_count`).
     """
     return df.coalesce(files)
+
+
+def merge_small(df: DataFrame) -> DataFrame:
+    """Merge what parsing gives into fewer partitions, without fewer tasks for the parsing.
+
+    The rows are shuffled once; Spark then merges or splits partitions by their real size,
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    """
+    return df.hint("rebalance")

@@ -122,6 +122,15 @@ def test_compaction(spark, tmp_path):
     assert rows(spark.read.parquet(few)) == rows(spark.range(1000))
 
 
+def test_merging_keeps_the_tasks_of_the_parsing(spark, tmp_path):
+    merged = writers.merge_small(spark.range(1000, numPartitions=40))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS" in plan and "Coalesce" not in plan
+    writers.write_parquet(merged, str(tmp_path / "merged"))
+    assert len(list((tmp_path / "merged").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "merged")).distinct().count() == 1000
+
+
 def test_file_count_follows_the_input(spark, tmp_path, monkeypatch):
     path = tmp_path / "in"
     path.mkdir()
