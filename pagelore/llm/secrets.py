@@ -30,8 +30,9 @@ KINDS = ("assign", "access", "hex", "jwt", "pem", "key", "hexkey", "encoded")
 
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
 _PEM = re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]*)-----END \1?PRIVATE KEY-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}={0,2}")
-_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
+# Whole runs of digits, whatever stands around them: 0x3082..., x'3082...', 3082...h.
+_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _OPENSSH = b"openssh-key-v1\0"
 
 # What a text must contain for a kind to be searched in it; a text without it has no such span.
@@ -42,7 +43,7 @@ _HINTS = {
     "jwt": r"eyJ[A-Za-z0-9_-]+\.eyJ",
     "pem": r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----",
     "base64": r"[A-Za-z0-9+/_-]{24}",
-    "hexkey": r"[0-9a-f]{48}|[0-9A-F]{48}",
+    "hexkey": r"[0-9A-Fa-f]{48}",
 }
 
 

@@ -316,6 +316,21 @@ def test_secrets(docs, empty):
     assert found.count() == len(ODD) and secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_behind_signs():
+    """Runs right behind '=' or 0x, and hex of mixed case, are candidates."""
+    key = b"\x02\x01\x00" + b"".join(b"\x02\x10" + bytes([i + 170] * 16) for i in range(1, 9))
+    key = b"\x30\x81" + bytes([len(key)]) + key
+    run, digits = base64.b64encode(key).decode(), key.hex()
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(digits))
+    confirmed = lambda text: [s for s in secrets.spans_of(text) if s[1] in ("key", "hexkey")]
+    for before in ("KEY=", "a_long_name_for_a_signing_key=", "?a=b&sig=", "KEY: ", 'key="'):
+        assert confirmed(f"{before}{run}\n") == [(len(before), "key", len(before + run))]
+    for before in ("0x", "KEY=0x", "0X", "x'", "KEY="):
+        for hexed in (digits, digits.upper(), mixed):
+            assert confirmed(f"{before}{hexed}") == [(len(before), "hexkey", len(before + hexed))]
+    assert confirmed(f"0x{digits}0") == [] and confirmed(f"KEY={run[:-8]}") == []
+
+
 def test_toxicity(spark, docs, empty):
     from pyspark.sql import functions as F
 
