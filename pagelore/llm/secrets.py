@@ -1,7 +1,7 @@
 """Secrets in whole texts: fixed patterns, and candidates that must decode and parse.
 
 A run of base64 or hex counts only if its bytes are a private key whose nested lengths add up,
-or text that holds a secret itself; a signed token only if its header and claims parse. Every
+or UTF-8 text, of one line or many, that holds a secret of any kind itself; a signed token only if its header and claims parse. Every
 span is in code points, end exclusive.
 """
 
@@ -33,6 +33,8 @@ _PEM = re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]*)----
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 # Whole runs of digits, whatever stands around them: 0x3082..., x'3082...', 3082...h.
 _HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+# No plain text: control characters other than tabs, line ends and form feeds.
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _OPENSSH = b"openssh-key-v1\0"
 
 # What a text must contain for a kind to be searched in it; a text without it has no such span.
@@ -133,10 +135,15 @@ def base_spans(text: str, kinds=tuple(BASE)) -> list[tuple[int, str, int]]:
 
 
 def _hidden(data: bytes) -> bool:
-    """Whether decoded bytes are plain text with a secret in it."""
-    if not data.isascii() or not data.decode("ascii").isprintable():
+    """Whether decoded bytes are plain text with a secret of any kind in it.
+
+    A run inside that text is decoded again; each time at least a quarter of the length goes.
+    """
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
         return False
-    return bool(base_spans(data.decode("ascii"), ("assign", "access")))
+    return not _CONTROL.search(text) and bool(spans_of(text))
 
 
 def confirmed_spans(text: str, kinds) -> list[tuple[int, str, int]]:

@@ -331,6 +331,29 @@ def test_secrets_behind_signs():
     assert confirmed(f"0x{digits}0") == [] and confirmed(f"KEY={run[:-8]}") == []
 
 
+def test_secrets_in_decoded_text():
+    """Decoded text may have several lines and any letters, and hold any kind of secret."""
+    key = b"\x02\x01\x00" + b"".join(b"\x02\x10" + bytes([i] * 16) for i in range(1, 9))
+    run = base64.b64encode(b"\x30\x81" + bytes([len(key)]) + key).decode()
+    part = lambda s: base64.urlsafe_b64encode(s).decode().rstrip("=")
+    token = f'{part(b"""{"alg":"HS256"}""")}.{part(b"""{"sub":"1"}""")}.abcdef'
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{run[:64]}\n{run[64:]}\n-----END RSA PRIVATE KEY-----\n"
+    held = [
+        "password=hunter2hunter2", "password=hunter2hunter2\n", "[db]\r\nuser=me\r\n\tpassword=hunter2hunter2",
+        "# ключ für alle\npassword = hunter2hunter2", f"bearer {token}\n", pem, f"signing: {run}\n",
+        "digest 0123456789abcdef0123456789abcdef",
+    ]
+    for text in held:
+        coded = text.encode()
+        forms = [base64.b64encode(coded).decode(), base64.urlsafe_b64encode(coded).decode()]
+        for encoded in [*forms, *([coded.hex()] if len(coded) >= 24 else [])]:
+            assert (2, "encoded", 2 + len(encoded)) in secrets.spans_of(f"x {encoded} y"), text
+        twice = base64.b64encode(base64.b64encode(coded)).decode()
+        assert "encoded" in [k for _, k, _ in secrets.spans_of(twice)]
+    for data in (b"\x00\x01password=hunter2hunter2", b"\xffpassword=hunter2hunter2", b"nothing to see here\n" * 3):
+        assert "encoded" not in [k for _, k, _ in secrets.spans_of(base64.b64encode(data).decode())]
+
+
 def test_toxicity(spark, docs, empty):
     from pyspark.sql import functions as F
 
