@@ -16,9 +16,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, learned from the labels not held out, rejects go."""
+    """Documents that the toxicity model, learned from the labels not held out, rejects go.
+
+    A model without any weight, as without usable labels, rejects nothing.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels, usable=~toxicity.held_out(F.col("doc_id")))
+    if model.knows_nothing:
+        return docs.select(*COLUMNS)
     scored = toxicity.with_score(docs, model, keep=list(COLUMNS), name="toxic_score")
     return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select(*COLUMNS)
 

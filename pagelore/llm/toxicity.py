@@ -82,6 +82,11 @@ class Model:
     def __init__(self, at: np.ndarray, weights: np.ndarray, bias: float, bits: int = BITS):
         self.at, self.weights, self.bias, self.bits = at, weights, bias, bits
 
+    @property
+    def knows_nothing(self) -> bool:
+        """Whether no weight was learned, so that every text scores 0.5."""
+        return not len(self.at) and not self.bias
+
     def table(self) -> np.ndarray:
         """Weights of all coordinates, for quick lookups inside a task."""
         dense = np.zeros(1 << self.bits, dtype=np.float32)

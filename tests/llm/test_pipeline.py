@@ -1,5 +1,7 @@
 """The pipeline's stages on planted rows."""
 
+import zlib
+
 import corpus_pipeline as pipeline
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,3 +25,22 @@ def test_stages(spark):
 
 def test_run_is_the_stages(spark):
     assert pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_toxicity_stage_without_usable_labels(spark, tmp_path):
+    """Labels that teach nothing reject no document."""
+    docs = spark.createDataFrame(
+        [(i, f"clean words {i}", "en", "s", 13) for i in range(8)] + [(None, None, None, None, None)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    cases = {
+        "empty": [], "null": [(i, None) for i in range(8)], "no id": [(None, 1)],
+        "held out": [(i, 1) for i in held], "unknown": [(1000 + i, 1) for i in range(8)],
+    }
+    for name, labels in cases.items():
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+        left = pipeline.drop_toxic(spark, docs, folder)
+        assert left.columns == list(pipeline.COLUMNS)
+        assert sorted(map(str, left.collect())) == sorted(map(str, docs.select(*pipeline.COLUMNS).collect())), name
