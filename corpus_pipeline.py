@@ -29,8 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites stay in one document only; no document goes."""
-    cleaned = line_dedup.remove_boilerplate(docs.select(*COLUMNS))
+    """Lines that stand on many sites, and those of over 50 words that stand on two, stay in
+    one document only; no document goes."""
+    cleaned = line_dedup.remove_boilerplate(docs.select(*COLUMNS), passage_sites=2)
     length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length.cast("long")).select(*COLUMNS)
 

@@ -44,3 +44,20 @@ def test_toxicity_stage_without_usable_labels(spark, tmp_path):
         left = pipeline.drop_toxic(spark, docs, folder)
         assert left.columns == list(pipeline.COLUMNS)
         assert sorted(map(str, left.collect())) == sorted(map(str, docs.select(*pipeline.COLUMNS).collect())), name
+
+
+def test_line_stage_takes_passages_on_two_sites(spark):
+    """Lines of over 50 words go from two sites on, shorter ones from three; none within one."""
+    passage, limit = " ".join(f"w{i}" for i in range(51)), " ".join(f"v{i}" for i in range(50))
+    inside, menu = " ".join(f"u{i}" for i in range(60)), "home about contact"
+    rows = [
+        (1, f"a\n{passage}\n{limit}\n{menu}", "s1"), (2, f"b\n \t{passage}\r\n{limit}\n{menu}", "s2"),
+        (3, f"c\n{inside}\n{menu}", "s3"), (4, f"{inside}\nd", "s3"), (5, f"{passage}\ne", "s1"), (6, None, None),
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, "en", s, t and len(t)) for i, t, s in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    left = {r.doc_id: (r.text, r.n_chars) for r in pipeline.drop_boilerplate(spark, docs, SF_DIR).collect()}
+    texts = {1: rows[0][1], 2: f"b\n{limit}", 3: f"c\n{inside}", 4: rows[3][1], 5: "e", 6: None}
+    assert left == {i: (t, t and len(t)) for i, t in texts.items()}
