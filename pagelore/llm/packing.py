@@ -96,7 +96,8 @@ def best_fit_plan(lengths: dict[int, int], capacity: int) -> np.ndarray:
 def encode_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS, end_id: int = END_ID
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids): the ids of every text with the end id behind.
+    """(doc_id, piece, start, length, ids): the ids of every text, as a plain call of the
+    tokenizer gives them, with the end id behind.
 
     Only documents of more than ``capacity`` ids are cut: all pieces but the first have
     ``capacity`` ids. Null texts are empty and have the end id only. ``ids`` is little-endian
@@ -104,7 +105,7 @@ def encode_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, added=True)
         for batch in batches:
             for part in slices(batch, 1):
                 ids, first = enc.encode(part.column(1))

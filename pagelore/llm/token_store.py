@@ -148,12 +148,13 @@ def write_token_store(
     """Write all documents in ascending order of doc_id, null first; equal ids by their text's
     hash. Returns the catalogue (shard, file, documents, ids, start), one row a file.
 
-    Null texts are empty and have the end id only. Other columns than doc_id and text are
+    Ids are those of a plain call of the tokenizer, added tokens included. Null texts are empty
+    and have the end id only. Other columns than doc_id and text are
     ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, added=True)
         shard = TaskContext.get().partitionId()
         out, names, stops, used, nameless = None, [], [], 0, 0
         for batch in batches:

@@ -3,14 +3,19 @@
 Byte-level BPE never joins characters across the start of white space or from a letter to
 punctuation, so a text may be cut there and each different piece be encoded once. Pieces repeat
 a lot; looking their ids up in bulk is several times faster than encoding every text. The ids
-are those of the whole text.
+are those of the whole text: with the tokenizer's added tokens found in it, as a plain call
+gives, or with special ones spelt out like other text, so that their ids never occur.
 """
 
 import functools
+import json
+import re
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pagelore.llm.texthash import SPACE, span_hashes, text_bytes
 
@@ -20,6 +25,7 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, dtype=bool)
 _MARK[33:127] = ~_WORD[33:127]
 _MARK[39] = False
+_WORD_CHARACTER = re.compile(r"\w")
 
 KNOWN_PIECES = 1 << 19
 RUN = 500
@@ -62,21 +68,79 @@ def _joinable(piece: bytes) -> bool:
 
 
 @functools.cache
-def encoder(path: str) -> "Encoder":
-    """One encoder for each tokenizer file and Python worker."""
-    return Encoder(path)
+def encoder(path: str, added: bool = False) -> "Encoder":
+    """One encoder for each tokenizer file, setting and Python worker."""
+    return Encoder(path, added)
+
+
+class AddedTokens:
+    """Cuts texts at the added tokens of a tokenizer file, by the flags that each has."""
+
+    def __init__(self, tokens: list[dict]):
+        self._tokens = {t["content"]: t for t in tokens if t["content"]}
+        # Those not subject to a normaliser are searched first, the others in what is left.
+        passes = [[c for c, t in self._tokens.items() if bool(t["normalized"]) is late] for late in (False, True)]
+        self._passes = [self._any_of(contents) for contents in passes if contents]
+        self._hint = self._any_of(list(self._tokens)).pattern if self._tokens else None
+
+    @staticmethod
+    def _any_of(contents: list[str]) -> re.Pattern:
+        return re.compile("|".join(map(re.escape, sorted(contents, key=len, reverse=True))))
+
+    def occur(self, column: pa.Array) -> np.ndarray:
+        """Whether each text may hold an added token."""
+        if self._hint is None:
+            return np.zeros(len(column), dtype=bool)
+        found = pc.match_substring_regex(pc.fill_null(column, ""), self._hint)
+        return found.to_numpy(zero_copy_only=False)
+
+    def cut(self, text: str) -> tuple[list[str], list[int]]:
+        """The texts between added tokens, and the ids of those: one less than there are texts."""
+        texts, ids = [text], []
+        for pattern in self._passes:
+            between, found = [], []
+            for i, part in enumerate(texts):
+                some, more = self._cut_by(pattern, part)
+                between += some
+                found += more + ids[i : i + 1]
+            texts, ids = between, found
+        return texts, ids
+
+    def _cut_by(self, pattern: re.Pattern, text: str) -> tuple[list[str], list[int]]:
+        texts, ids, at = [], [], 0
+        for m in pattern.finditer(text):
+            (start, stop), token = m.span(), self._tokens[m[0]]
+            if token["single_word"] and _WORD_CHARACTER.match(text[max(start - 1, 0) : start] or " "):
+                continue
+            if token["single_word"] and _WORD_CHARACTER.match(text[stop : stop + 1] or " "):
+                continue
+            while token["lstrip"] and start > at and text[start - 1].isspace():
+                start -= 1
+            while token["rstrip"] and stop < len(text) and text[stop].isspace():
+                stop += 1
+            texts.append(text[at:start])
+            ids.append(token["id"])
+            at = stop
+        return [*texts, text[at:]], ids
 
 
 class Encoder:
     """Encodes Arrow columns of text. Needs a byte-level BPE tokenizer without a normaliser.
 
-    At most ``KNOWN_PIECES`` pieces are remembered between calls.
+    With ``added``, added tokens in a text get their own ids, as ``encode`` of the file gives
+    them; without, special ones are spelt out. At most ``KNOWN_PIECES`` pieces are remembered
+    between calls.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer = whole = Tokenizer.from_file(path)
+        self._added = AddedTokens([])
+        if added:  # they are cut out before, so the tokenizer itself must not look for them
+            data = json.loads(Path(path).read_text("utf-8"))
+            self._added = AddedTokens(data.get("added_tokens", []))
+            self._tokenizer = Tokenizer.from_str(json.dumps(data | {"added_tokens": [], "post_processor": None}))
         self._tokenizer.encode_special_tokens = True
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
@@ -84,9 +148,9 @@ class Encoder:
             raise ValueError("the tokenizer changes texts before cutting them")
         if "ByteLevel" not in repr(self._tokenizer.pre_tokenizer):
             raise ValueError("the tokenizer is no byte-level BPE")
-        self.vocabulary = self._tokenizer.get_vocab_size()
+        self.vocabulary = whole.get_vocab_size()
         self._bytes = np.zeros(self.vocabulary, dtype=np.int64)
-        for token, i in self._tokenizer.get_vocab().items():
+        for token, i in whole.get_vocab().items():
             self._bytes[i] = len(token)  # byte-level tokens have a character for each byte
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self._forget()
@@ -139,6 +203,23 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids behind each other, and where each text's ids start; null is empty."""
+        hits = self._added.occur(column)
+        if not hits.any():
+            return self._encode_plain(column)
+        parts, own, begins, owns = [], [], [0], [0]  # texts and added tokens before each text
+        for text, hit in zip(column.to_pylist(), hits.tolist()):
+            texts, ids = self._added.cut(text) if hit else ([text], [])
+            parts += texts
+            # An added token stands before the part that follows it.
+            own += zip(range(len(parts) - len(ids), len(parts)), ids)
+            begins.append(len(parts))
+            owns.append(len(own))
+        ids, first = self._encode_plain(pa.array(parts, column.type))
+        before = np.array([part for part, _ in own], dtype=np.int64)
+        given = np.array([i for _, i in own], dtype=self.dtype)
+        return np.insert(ids, first[before], given), first[begins] + np.array(owns)
+
+    def _encode_plain(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
         starts = piece_starts(data, offsets)
         ids, stops, used = [np.zeros(0, dtype=self.dtype)], [np.zeros(1, dtype=np.int64)], 0

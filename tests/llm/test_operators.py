@@ -101,6 +101,57 @@ def test_token_store_and_counts(spark, docs, real, empty, tokenizer):
     assert token_counts.document_token_counts(empty, path).count() == 0
 
 
+def test_added_tokens_get_their_ids(tmp_path):
+    """Ids are those of a plain call, whatever flags the added tokens of the file have."""
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    with open(tokens.default_tokenizer(), encoding="utf-8") as file:
+        data = json.load(file)
+    named = {"<|l|>": {"lstrip": True}, "<|r|>": {"rstrip": True}, "wörd": {"single_word": True},
+             "two words": {"normalized": True, "special": False}, "<|endoftext|>x": {}, "<|b|>": {"lstrip": True, "rstrip": True}}
+    for i, (content, flags) in enumerate(named.items()):
+        plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+        data["added_tokens"].append({"id": 50257 + i, "content": content, **plain, **flags})
+    path = str(tmp_path / "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(data, file)
+    texts = [row[1] for row in ODD] + ["<|endoftext|>", "a<|endoftext|>b", "<|endoftext|><|endoftext|>x y <|endoftext|"]
+    texts += ["a  <|l|> b <|l|>", "a <|r|>  \n<|r|> b", "wörd, wörds a wörd", "two words two  words atwo wordsb"]
+    texts += ["é <|b|> \t <|b|><|l|> 漢<|endoftext|>字", "ends in two", " words begin it", "plain text"]
+    for file in (tokens.default_tokenizer(), path):
+        unchanged = Tokenizer.from_file(file)
+        enc = tokens.Encoder(file, added=True)
+        for some in (texts, texts[::-1], texts[-1:], ["two words"], [None, "<|endoftext|>", None]):
+            ids, first = enc.encode(pa.array(some, pa.string()))
+            assert len(first) == len(some) + 1
+            for i, text in enumerate(some):
+                assert ids[first[i] : first[i + 1]].tolist() == ids_of(unchanged, text), text
+
+
+def test_added_tokens_in_packing_and_store(spark):
+    from tokenizers import Tokenizer
+
+    path = tokens.default_tokenizer()
+    unchanged = Tokenizer.from_file(path)
+    rows = [(1, "a<|endoftext|>b"), (2, "plain"), (3, "<|endoftext|>" * 1500), (4, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {d: ids_of(unchanged, t) + [2] for d, t in rows}
+    assert expected[1] == [64, 50256, 65, 2]
+    read = {r.doc_id: r for r in token_store.token_store_round_trip(table, path).collect()}
+    assert {d: np.frombuffer(r.ids, "<u4").tolist() for d, r in read.items()} == expected
+    assert [read[d].start for d in (1, 2, 3, 4)] == [sum(len(expected[x]) for x in range(1, d)) for d in (1, 2, 3, 4)]
+    pieces = sorted(packing.encode_pieces(table, path).collect(), key=lambda r: (r.doc_id, r.start))
+    found = {d: [] for d in expected}
+    for piece in pieces:
+        found[piece.doc_id] += np.frombuffer(piece.ids, "<u4").tolist()
+    assert found == expected
+    counted = token_counts.document_token_counts(table, path).collect()
+    assert {r.doc_id: r.n_tokens for r in counted}[1] == 10  # op5 spells them out
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 255, 256, 257, 3000):
