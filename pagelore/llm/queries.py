@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 
 from pagelore.llm import (
     exact_dedup,
+    fim,
+    langid,
     line_dedup,
     mixing,
     ngram_join,
     packing,
     secrets,
+    spelling,
     token_counts,
     token_store,
     toxicity,
@@ -98,6 +101,29 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs, usable=~held_out)
+    found = langid.with_language(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_occurrences(_table(spark, sf_dir, "documents"), noise=97)
+    found = spelling.spelling_variants(spelling.vocabulary(words))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -109,6 +135,13 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_store": op9_token_store,
     "op10_ngram_join": op10_ngram_join,
+    "op11_language_id": op11_language_id,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-SQL = {"op2_exact_dedup": exact_dedup.SQL, "op6_line_dedup": line_dedup.SQL}
+SQL = {
+    "op2_exact_dedup": exact_dedup.SQL,
+    "op6_line_dedup": line_dedup.SQL,
+    "op13_fill_in_middle": fim.SQL,
+}
