@@ -180,14 +180,20 @@ JOIN worded w ON w.url = a.url AND w.mention = {_clean("obj")}
 """
 
 
-def _lists(table: str, fields: str, line: str) -> str:
+def _parts(table: str, fields: str) -> str:
+    """Lines of three items each, with a number, by page."""
+    line = f"concat_ws(chr(9), {fields}, cast(copies as string))"
     return f"""
-WITH {_SHOP}, items AS (SELECT url, {fields}, count(*) AS copies FROM {table} GROUP BY ALL)
-SELECT url, 0 AS part, string_agg(line, chr(10) ORDER BY line) AS lines
-FROM (SELECT url, {line} AS line FROM items) l GROUP BY url
+SELECT url, part, string_agg(line, chr(10) ORDER BY line) AS lines FROM (
+  SELECT url, {line} AS line,
+    (row_number() OVER (PARTITION BY url ORDER BY {fields}) - 1) // 3 AS part
+  FROM (SELECT url, {fields}, count(*) AS copies FROM {table} GROUP BY ALL) items
+) numbered GROUP BY url, part
 """
 
 
+_TRIPLE_PARTS = _parts("annotations_", "subject, predicate, obj")
+_LINK_PARTS = _parts("links_", '"wikiLink"')
 _URL_PAGES = f"""
 SELECT url AS page FROM pages UNION ALL
 SELECT page FROM {_over(inputs.EDGE_URLS)} WHERE page IS NOT NULL
@@ -228,13 +234,17 @@ ORACLES: dict[str, str] = {
     "page_paragraphs": _PARAGRAPHS,
     "wiki_link_paragraphs": _LINK_PARAGRAPHS,
     "tweet_links": _TWEETS,
-    "triples_by_page": _lists(
-        "annotations_", "subject, predicate, obj",
-        "concat_ws(chr(9), subject, predicate, obj, cast(copies as string))",
-    ),
-    "wikilinks_by_page": _lists(
-        "links_", '"wikiLink"', """concat_ws(chr(9), "wikiLink", cast(copies as string))"""
-    ),
+    "triples_by_page": f"WITH {_SHOP} {_TRIPLE_PARTS}",
+    "wikilinks_by_page": f"WITH {_SHOP} {_LINK_PARTS}",
+    "pages_with_lists": f"""
+        WITH {_SHOP}, t AS ({_TRIPLE_PARTS}), l AS ({_LINK_PARTS}),
+        k AS (SELECT url, part FROM t UNION SELECT url, part FROM l)
+        SELECT p.url, CASE WHEN k.part = 0 THEN content END AS content, k.part,
+          coalesce(t.lines, '') AS triples, coalesce(l.lines, '') AS links
+        FROM pages_ p JOIN k ON p.url = k.url
+        LEFT JOIN t ON t.url = k.url AND t.part = k.part
+        LEFT JOIN l ON l.url = k.url AND l.part = k.part
+        WHERE p.url IN (SELECT url FROM t) AND p.url IN (SELECT url FROM l)""",
     "pages_triples_links": f"""
         WITH {_SHOP}
         SELECT p.url, content, n_triples, n_wikilinks FROM pages_ p

@@ -141,25 +141,37 @@ def _by_name(spark, sf_dir):
     return matching.name_exact_match(inputs.shop_dictionary(spark, sf_dir))
 
 
+# Few items a part, so that the pages of the check inputs have several.
+PART_ITEMS = 3
+
+
+def _lines(items: str, *fields: str):
+    line = lambda t: F.concat_ws("\t", *(t[f].cast("string") for f in (*fields, "copies")))
+    return F.array_join(F.array_sort(F.transform(items, line)), "\n")
+
+
 @query
 def triples_by_page(spark, sf_dir):
-    lists = grouping.triples_by_page(inputs.shop_annotations(inputs.shop(spark, sf_dir)))
-    line = lambda t: F.concat_ws(
-        "\t", t["subject"], t["predicate"], t["obj"], t["copies"].cast("string")
-    )
-    return lists.select(
-        "url", "part", F.array_join(F.array_sort(F.transform("triples", line)), "\n").alias("lines")
+    annotations = inputs.shop_annotations(inputs.shop(spark, sf_dir))
+    return grouping.triples_by_page(annotations, PART_ITEMS).select(
+        "url", "part", _lines("triples", "subject", "predicate", "obj").alias("lines")
     )
 
 
 @query
 def wikilinks_by_page(spark, sf_dir):
-    lists = grouping.wikilinks_by_page(inputs.shop_links(inputs.shop(spark, sf_dir)))
-    line = lambda l: F.concat_ws("\t", l["wikiLink"], l["copies"].cast("string"))  # noqa: E731, E741
-    return lists.select(
-        "url",
-        "part",
-        F.array_join(F.array_sort(F.transform("wikilinks", line)), "\n").alias("lines"),
+    links = inputs.shop_links(inputs.shop(spark, sf_dir))
+    return grouping.wikilinks_by_page(links, PART_ITEMS).select(
+        "url", "part", _lines("wikilinks", "wikiLink").alias("lines")
+    )
+
+
+@query
+def pages_with_lists(spark, sf_dir):
+    return grouping.pages_with_lists(*_shop(spark, sf_dir), PART_ITEMS).select(
+        "url", "content", "part",
+        _lines("triples", "subject", "predicate", "obj").alias("triples"),
+        _lines("wikilinks", "wikiLink").alias("links"),
     )
 
 
@@ -188,7 +200,9 @@ def instance_match(spark, sf_dir):
 def title_matcher():
     """A page-level strategy: an entity's name is the title of a linked article.
 
-    Inner functions travel to the workers with the job, wherever this file lies.
+    Titles and names with the same words come one after another (:func:`title_order`), so that
+    only one title is remembered at a time. Inner classes travel to the workers with the job,
+    wherever this file lies.
     """
 
     def set_up():
@@ -199,20 +213,37 @@ def title_matcher():
         def words(text):
             return re.sub(r"\W+", " ", text, flags=re.ASCII).strip().lower()
 
-        def match(url, source, triples, links):
-            titles = {link.rsplit(prefix, 1)[1] for link in links if prefix in link}
-            known = {words(title.replace("_", " ")): title for title in sorted(titles)[::-1]}
-            for subject, predicate, obj in triples:
-                if predicate.endswith("/name>") and obj is not None and words(obj) in known:
-                    yield subject, known[words(obj)]
+        class TitlePage:
+            def __init__(self, url, content):
+                self.words = self.title = None
+
+            def add_link(self, link):
+                if link is not None and prefix in link:
+                    title = link.rsplit(prefix, 1)[1]
+                    same = words(title.replace("_", " "))
+                    self.title = min(self.title, title) if same == self.words else title
+                    self.words = same
+
+            def add_triple(self, subject, predicate, obj):
+                if predicate.endswith("/name>") and obj is not None and words(obj) == self.words:
+                    yield subject, self.title
 
-        return match
+            def finish(self):
+                return None
+
+        return TitlePage
 
     return set_up
 
 
+def title_order():
+    """Links by the words of their title, annotations by those of their object."""
+    title = F.replace(wiki_title(F.col("link")), F.lit("_"), F.lit(" "))
+    return [clean_name(F.coalesce(title, F.col("obj")))]
+
+
 def title_strategy(pages, annotations, wiki_links):
-    """The same strategy over whole tables, for pages that are too big for Python."""
+    """The same strategy over whole tables."""
     names = annotations.where(F.col("predicate").endswith("/name>")).select(
         "url", "subject", clean_name(F.col("obj")).alias("mention")
     )
@@ -230,7 +261,8 @@ def title_strategy(pages, annotations, wiki_links):
 
 @query
 def custom_strategy(spark, sf_dir):
-    return per_page(title_matcher(), beyond=title_strategy)(*_shop(spark, sf_dir))
+    strategy = per_page(title_matcher(), order=title_order(), content=False)
+    return strategy(*_shop(spark, sf_dir))
 
 
 @query

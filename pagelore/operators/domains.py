@@ -3,15 +3,13 @@
 import string
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelore.functions.urls import url_host
 
-# A rule table up to this size is sent to every executor; the public list has about 9,000
-# rows. A bigger one is joined in the way Spark finds best.
-MAX_BROADCAST_RULES = 100_000
+# Rules of one last label lie in hash buckets of about so many, so that each look-up is short.
+_BUCKET_RULES = 4
 
 _EXACT, _WILDCARD, _EXCEPTION = 1, 2, 4
 
@@ -53,14 +51,42 @@ def parse_suffix_rules(lines: DataFrame) -> DataFrame:
 
 def suffix_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The public-suffix rules, from a list file or else the list that Spark ships."""
-    if path is not None:
-        return parse_suffix_rules(spark.read.text(path))
+    return parse_suffix_rules(_shipped_lines(spark) if path is None else spark.read.text(path))
+
+
+def compiled_rules(rules: DataFrame) -> DataFrame:
+    """(suffix, labels, kinds) -> (last, depth, buckets): one row for each last label.
+
+    ``depth`` is the number of labels of its longest rule; ``buckets`` is an array of arrays
+    of suffix and kinds, each rule in the one that the hash of its suffix says.
+    """
+    keyed = rules.select("*", F.substring_index("suffix", ".", -1).alias("last"))
+    sizes = keyed.groupBy(F.col("last").alias("size_last")).agg(
+        F.max("labels").alias("depth"),
+        F.ceil(F.count("*") / _BUCKET_RULES).cast("int").alias("size"),
+    )
+    rule = F.struct("suffix", "kinds")
+    full = keyed.join(sizes, F.col("last") == F.col("size_last")).select(
+        "last", F.pmod(F.xxhash64("suffix"), F.col("size")).cast("int").alias("bucket"), rule.alias("rule")
+    )
+    grid = sizes.select(
+        F.col("size_last").alias("last"), F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("bucket"),
+        F.lit(None).cast(full.schema["rule"].dataType).alias("rule"),
+    )
+    filled = full.unionAll(grid).groupBy("last", "bucket").agg(F.collect_list("rule").alias("rules"))
+    placed = filled.groupBy("last").agg(F.sort_array(F.collect_list(F.struct("bucket", "rules"))).alias("placed"))
+    return placed.join(sizes, F.col("last") == F.col("size_last")).select(
+        "last", "depth", F.col("placed.rules").alias("buckets")
+    )
+
+
+def _shipped_rules(spark: SparkSession) -> DataFrame:
     if not _shipped:
-        _shipped.append(parse_suffix_rules(_shipped_lines(spark)).toArrow())
+        _shipped.append(compiled_rules(suffix_rules(spark)).toArrow())
     return spark.createDataFrame(_shipped[0])
 
 
-# The list that Spark ships, parsed once per process: about 9,000 rows.
+# The list that Spark ships, compiled once per process: about 9,000 rules, 1,500 last labels.
 _shipped: list[pa.Table] = []
 
 
@@ -89,24 +115,18 @@ def top_private_domain(
     itself a public suffix gives that suffix; a host under no known suffix gives its last
     label.
 
-    The big table is never shuffled: for each rule length in turn, the last labels of the
-    host are looked up in the rules of that length. All look-ups run in one map stage.
+    Rules are compiled to one row for each last label. A host meets its row in one join and
+    is looked up there, longest suffix first. Spark broadcasts compiled rules up to its
+    ``autoBroadcastJoinThreshold``, as it does with the public list.
     """
-    if rules is None:
-        rules = suffix_rules(df.sparkSession)
-    first = rules.limit(MAX_BROADCAST_RULES + 1).toArrow()
-    if first.num_rows <= MAX_BROADCAST_RULES:
-        # Measured to be small: keep the parsed rows in the plan instead of re-parsing.
-        rules = F.broadcast(df.sparkSession.createDataFrame(first))
-        depth = pc.max(first["labels"]).as_py() or 0
-    else:
-        depth = rules.agg(F.max("labels")).first()[0]
-
-    found = _with_name(df, url_col)
-    for labels in range(1, depth + 1):
-        found = _look_up(found, rules, labels)
-
-    suffix_labels = F.coalesce(*_matches(depth), F.lit(0))
+    spark = df.sparkSession
+    table = _shipped_rules(spark) if rules is None else compiled_rules(rules)
+    table = table.select(
+        F.col("last").alias("_last"), F.col("depth").alias("_depth"),
+        F.col("buckets").alias("_buckets"),
+    )
+    last = F.when(F.col("_valid"), F.substring_index("_name", ".", -1))
+    found = _with_name(df, url_col).join(table, last == F.col("_last"), "left")
     before_suffix = F.try_element_at(F.split("_name", r"\."), -(F.col("_suffix_labels") + 1))
     label = (
         F.when(~F.col("_valid"), F.col("_host"))
@@ -114,11 +134,34 @@ def top_private_domain(
         .when(F.col("_suffix_labels") >= F.col("_labels"), F.col("_name"))
         .otherwise(before_suffix)
     )
-    return found.withColumn("_suffix_labels", suffix_labels).select(
+    return found.withColumn("_suffix_labels", _suffix_labels()).select(
         *(c for c in df.columns if c != out), label.alias(out)
     )
 
 
+def _suffix_labels() -> Column:
+    """Labels of the public suffix of a host, by its longest rule; 0 without one."""
+    labels, buckets = F.col("_labels"), F.col("_buckets")
+
+    def rule(n: Column) -> Column:
+        suffix = F.call_function("substring_index", F.col("_name"), F.lit("."), -n)
+        bucket = F.get(buckets, F.pmod(F.xxhash64(suffix), F.size(buckets)).cast("int"))
+        same = F.filter(bucket, lambda rule: rule["suffix"] == suffix)
+        return F.struct(n.alias("n"), F.get(same, 0)["kinds"].alias("kinds"))
+
+    def taken(found: Column) -> Column:
+        n, kinds = found["n"], found["kinds"]
+        return (
+            F.when((kinds.bitwiseAND(_WILDCARD) != 0) & (labels > n), n + 1)
+            .when(kinds.bitwiseAND(_EXACT) != 0, n)
+            .when(kinds.bitwiseAND(_EXCEPTION) != 0, n - 1)
+        )
+
+    lengths = F.sequence(F.least(labels, F.col("_depth")), F.lit(1), F.lit(-1))
+    matches = F.filter(F.transform(F.transform(lengths, rule), taken), lambda n: n.isNotNull())
+    return F.coalesce(F.get(matches, 0), F.lit(0))
+
+
 def _with_name(df: DataFrame, url_col: str) -> DataFrame:
     """Add the raw host and its normalised domain name, label count and validity.
 
@@ -140,25 +183,3 @@ def _with_name(df: DataFrame, url_col: str) -> DataFrame:
         .withColumn("_valid", valid)
         .withColumn("_labels", F.when(F.col("_valid"), _label_count(F.col("_name"))))
     )
-
-
-def _look_up(found: DataFrame, rules: DataFrame, labels: int) -> DataFrame:
-    """Left join with the rules of one length; hosts that are shorter never match."""
-    same_length = rules.where(F.col("labels") == labels).select(
-        F.col("suffix").alias("_rule"), F.col("kinds").alias(f"_kinds{labels}")
-    )
-    candidate = F.when(F.col("_labels") >= labels, F.substring_index("_name", ".", -labels))
-    return found.join(same_length, candidate == F.col("_rule"), "left").drop("_rule")
-
-
-def _matches(depth: int) -> list[Column]:
-    """Length of the suffix by each rule length, the longest rules first."""
-    matches = []
-    for labels in range(depth, 0, -1):
-        kinds = F.col(f"_kinds{labels}")
-        matches.append(
-            F.when((kinds.bitwiseAND(_WILDCARD) != 0) & (F.col("_labels") > labels), labels + 1)
-            .when(kinds.bitwiseAND(_EXACT) != 0, labels)
-            .when(kinds.bitwiseAND(_EXCEPTION) != 0, labels - 1)
-        )
-    return matches

@@ -1,16 +1,16 @@
-"""Per-page views: lists of a page's triples and links, and pages joined with both.
+"""Per-page views: counted and ranked items, lists of them, and pages joined with both.
 
-No list is unbounded. Exact copies are counted before anything is collected, and a page with
-more than ``part_items`` different items is continued over several rows.
+No list is unbounded. Exact copies are counted before anything is collected, and items are
+ranked within their page, so that the caller says how many of them one row holds.
 """
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from pagelore.sources.staging import cut_lineage
 
-PART_ITEMS = 10_000
 _TRIPLE = ("subject", "predicate", "obj")
+_LINK = ("wikiLink",)
 
 
 def group_to_join(rows: DataFrame, *keys: str) -> GroupedData:
@@ -24,32 +24,66 @@ def group_to_join(rows: DataFrame, *keys: str) -> GroupedData:
     return rows.groupBy(*keys, F.xxhash64(*keys).alias("key_hash"))
 
 
-def triples_by_page(annotations: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
-    """(url, part, triples): array of subject, predicate, obj, copies per page."""
+def counted_triples(annotations: DataFrame) -> DataFrame:
+    """(url, subject, predicate, obj, copies): each different annotation of a page once."""
+    return _counted(annotations, _TRIPLE)
+
+
+def counted_wikilinks(wiki_links: DataFrame) -> DataFrame:
+    """(url, wikiLink, copies): each different link of a page once."""
+    return _counted(wiki_links, _LINK)
+
+
+def _counted(rows: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    return rows.groupBy("url", *fields).agg(F.count("*").alias("copies"))
+
+
+def ranked(items: DataFrame, *fields: str) -> DataFrame:
+    """Add ``rank``: the place of each item within its page, from 0, in order of the fields.
+
+    Items of a page must differ in the fields. They are dealt out in runs by range, so that a
+    page with a third of all items lies in many of them; an item's rank is its place in its
+    run and page, plus the page's items in the runs before. Only pages at the borders of runs
+    have any, so what is added is at most one row for each run.
+    """
+    runs = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = items.repartitionByRange(runs, "url", *fields)
+    dealt = cut_lineage(dealt.withColumn("run", F.spark_partition_id()), "ranked-items")
+    place = F.row_number().over(Window.partitionBy("run", "url").orderBy(*fields)) - 1
+    counts = dealt.groupBy(F.col("url").alias("page"), F.col("run").alias("at")).agg(
+        F.count("*").alias("n")
+    )
+    earlier = Window.partitionBy("page").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    carried = counts.select("page", "at", F.sum("n").over(earlier).alias("before"))
+    carried = carried.where("before > 0")
+    same = (F.col("run") == F.col("at")) & F.col("url").eqNullSafe(F.col("page"))
+    return dealt.withColumn("place", place).join(carried, same, "left").select(
+        *items.columns, (F.col("place") + F.coalesce("before", F.lit(0))).cast("long").alias("rank")
+    )
+
+
+def triples_by_page(annotations: DataFrame, part_items: int) -> DataFrame:
+    """(url, part, triples): array of subject, predicate, obj, copies per page and part.
+
+    A page's different annotations in order, ``part_items`` to a part; parts count from 0.
+    """
     return _lists_by_page(annotations, _TRIPLE, "triples", part_items)
 
 
-def wikilinks_by_page(wiki_links: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
-    """(url, part, wikilinks): array of wikiLink, copies per page."""
-    return _lists_by_page(wiki_links, ("wikiLink",), "wikilinks", part_items)
+def wikilinks_by_page(wiki_links: DataFrame, part_items: int) -> DataFrame:
+    """(url, part, wikilinks): array of wikiLink, copies per page and part, in the same way."""
+    return _lists_by_page(wiki_links, _LINK, "wikilinks", part_items)
 
 
 def _lists_by_page(
     rows: DataFrame, fields: tuple[str, ...], out: str, part_items: int
 ) -> DataFrame:
-    items = rows.groupBy("url", *fields).agg(F.count("*").alias("copies"))
-    big = (
-        items.groupBy(F.col("url").alias("big_url"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > part_items)
-        .select("big_url", F.ceil(F.col("n") / part_items).alias("parts"))
-    )
-    part = F.coalesce(F.pmod(F.xxhash64(*fields), F.col("parts")), F.lit(0))
+    part = F.floor(F.col("rank") / part_items).cast("long").alias("part")
+    items = ranked(_counted(rows, fields), *fields)
     return (
-        items.join(big, F.col("url").eqNullSafe(F.col("big_url")), "left")
-        .select("url", part.cast("int").alias("part"), F.struct(*fields, "copies").alias("item"))
+        items.select("url", part, F.struct(*fields, "copies").alias("item"))
         .groupBy("url", "part")
-        .agg(F.collect_list("item").alias(out))
+        .agg(F.sort_array(F.collect_list("item")).alias(out))
     )
 
 
@@ -73,33 +107,28 @@ def pages_with_both(
     return pages.join(counts, "url")
 
 
-def oversized_pages(
-    annotations: DataFrame, wiki_links: DataFrame, page_items: int
+def pages_with_lists(
+    pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame, part_items: int
 ) -> DataFrame:
-    """Addresses of pages with more than ``page_items`` annotations or links."""
-    counts = [
-        rows.groupBy("url").agg(F.count("*").alias("n")).where(F.col("n") > page_items)
-        for rows in (annotations, wiki_links)
-    ]
-    return counts[0].union(counts[1]).select("url").distinct()
+    """(url, content, part, triples, wikilinks): pages that have annotations and links, joined
+    with both.
 
-
-def page_bundles(pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame) -> DataFrame:
-    """(url, content, triples, wikilinks) with plain lists, one row per page row.
-
-    For tables without oversized pages. The lists are grouped and joined in one shuffle of
-    each input; staged in the shared folder, they are a plain side of the join with pages.
-    That join is a sort-merge join, so that the work per page is spread evenly.
+    A page with at most ``part_items`` different annotations and links is one row. Others go
+    on over as many rows as the longer of the two lists needs; the shorter one is empty from
+    where it ends. The content is in part 0 only. Every stored copy of a page has its rows.
     """
-    # Links are collected in a struct, as a list would leave out null ones.
-    links = _plain_list(wiki_links, F.struct("wikiLink"), "wikilinks")
-    lists = _plain_list(annotations, F.struct(*_TRIPLE), "triples").join(
-        links.withColumn("wikilinks", F.col("wikilinks.wikiLink")), "url"
+    triples = triples_by_page(annotations, part_items)
+    links = wikilinks_by_page(wiki_links, part_items)
+    nothing = [F.lit(None).cast(t.schema[c].dataType).alias(c)
+               for t, c in ((triples, "triples"), (links, "wikilinks"))]
+    both = triples.select("url", "part", "triples", nothing[1]).unionAll(
+        links.select("url", "part", nothing[0], "wikilinks")
     )
-    return pages.select("url", "content").join(
-        cut_lineage(lists, "page-lists").hint("merge"), "url"
+    lists = both.groupBy("url", "part").agg(
+        *(F.coalesce(F.first(c, ignorenulls=True), F.array()).alias(c) for c in ("triples", "wikilinks"))
+    )
+    whole = pages_with_both(pages, annotations, wiki_links).select("url", "content")
+    content = F.when(F.col("part") == 0, F.col("content"))
+    return whole.join(lists, "url").select(
+        "url", content.alias("content"), "part", "triples", "wikilinks"
     )
-
-
-def _plain_list(rows: DataFrame, item: Column, out: str) -> DataFrame:
-    return rows.groupBy("url").agg(F.collect_list(item).alias(out))

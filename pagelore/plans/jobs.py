@@ -67,7 +67,7 @@ def quads_to_parquet(
     rules_path: str | None = None,
     min_partitions: int | None = None,
 ) -> None:
-    rules = suffix_rules(spark, rules_path)
+    rules = None if rules_path is None else suffix_rules(spark, rules_path)
     lines = readers.read_lines(spark, source, min_partitions)
     writers.write_parquet(annotations_from_quads(lines, on_error=on_error, rules=rules), target)
 

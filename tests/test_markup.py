@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +128,23 @@ def test_link_paragraphs_are_links_times_paragraphs(spark, table):
     ).isEmpty()
 
 
+def test_link_paragraphs_of_a_page_with_many_links(table):
+    """10,000 links over 3,000 paragraphs, anchors within others included: the cost is that of
+    the page and what is found, not of the pairs."""
+    link = '<a href="https://en.wikipedia.org/wiki/A{0}">Name {0}!</a>'
+    links = "".join(link.format(i) for i in range(10_000))
+    texts = [f"about NAME {7 * i % 10_000}! and name {i}!" for i in range(3000)]
+    df = pages(table, links + "".join(f"<p>{t}</p>" for t in texts) + '<a href="https://en.wikipedia.org/wiki/B">ame</a>')
+    started = time.monotonic()
+    found = [(r.href, r.link[-6:], r.paragraph) for r in extraction.wiki_link_paragraphs(df).collect()]
+    assert time.monotonic() - started < 60
+    expected = [("ame", "wiki/B", t) for t in texts]
+    for i, t in enumerate(texts):
+        for n in {7 * i % 10_000, i}:
+            expected.append((f"name {n}!", f"https://en.wikipedia.org/wiki/A{n}"[-6:], t))
+    assert sorted(found) == sorted(expected)
+
+
 def test_pages_without_address_or_content_are_left_out(table):
     tweet = "http://twitter.com/x"
     df = table("url content", [("u", tweet), ("", tweet), (None, tweet), ("u", ""), ("u", None)])

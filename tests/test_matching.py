@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pagelore.operators import grouping, matching, substitution
@@ -122,18 +121,25 @@ def name_matcher(dictionary):
         def clean(text):
             return re.sub(r"\W+", " ", text, flags=re.ASCII).strip().lower()
 
-        def match(url, source, triples, links):
-            titles = sorted(
-                {x.rsplit("wikipedia.org/wiki/", 1)[1] for x in links if "wikipedia.org/wiki/" in x},
-                reverse=True,
-            )
-            known = {clean(m): t for t in titles for m in dictionary.get(t, ())}
-            for subject, predicate, obj in triples:
+        class NamePage:
+            def __init__(self, url, content):
+                self.known = {}
+
+            def add_link(self, link):
+                if link and "wikipedia.org/wiki/" in link:
+                    title = link.rsplit("wikipedia.org/wiki/", 1)[1]
+                    for mention in map(clean, dictionary.get(title, ())):
+                        self.known[mention] = min(title, self.known.get(mention, title))
+
+            def add_triple(self, subject, predicate, obj):
                 if re.fullmatch("<http://schema.org(/[^/]+)?/name>", predicate.lower()) and obj:
-                    if clean(obj) in known:
-                        yield subject, known[clean(obj)]
+                    if clean(obj) in self.known:
+                        yield subject, self.known[clean(obj)]
+
+            def finish(self):
+                return None
 
-        return match
+        return NamePage
 
     return set_up
 
@@ -152,41 +158,108 @@ def test_page_level_strategy_agrees(tables, by_page):
     twice = [part.unionAll(part) for part in parts]
     by_tables = matching.name_exact_match(dictionary)
     assert rows(per_page(by_page)(*twice)) == rows(by_tables(*twice))
+    assert rows(per_page(by_page, content=False)(*twice)) == rows(by_tables(*twice))
 
 
-def test_page_level_strategy_in_small_batches(tables, by_page, with_conf):
-    with_conf(spark__sql__execution__arrow__maxRecordsPerBatch="1")
-    assert rows(per_page(by_page)(*tables[:3])) == MATCHES
-    with_conf(spark__sql__execution__arrow__maxRecordsPerBatch="2")
+@pytest.mark.parametrize("rows_a_batch", ["1", "2", "3"])
+def test_page_level_strategy_in_small_batches(tables, by_page, with_conf, rows_a_batch):
+    with_conf(spark__sql__execution__arrow__maxRecordsPerBatch=rows_a_batch)
     assert rows(per_page(by_page)(*tables[:3])) == MATCHES
 
 
-def test_big_pages_go_to_the_table_level_strategy(tables, by_page):
-    *parts, dictionary = tables
-    by_tables = matching.name_exact_match(dictionary)
-    for page_items in (0, 1, 2, 4, 5):
-        strategy = per_page(by_page, beyond=by_tables, page_items=page_items)
-        assert rows(strategy(*parts)) == MATCHES
+def recorder():
+    """A strategy that yields what a page is told, as text, when it ends."""
 
+    def set_up():
+        class Recorder:
+            def __init__(self, url, content):
+                self.told = [f"{content}"]
 
-def test_big_pages_fail_without_one(tables, by_page):
-    *parts, _ = tables
-    with pytest.raises(PySparkException, match="too big"):
-        per_page(by_page, page_items=2)(*parts).collect()
+            def add_link(self, link):
+                self.told.append(str(link)[-3:])
 
+            def add_triple(self, subject, predicate, obj):
+                self.told.append(f"{subject}{obj}")
 
-def test_strategy_sees_whole_pages(tables):
-    def set_up():
-        def match(url, source, triples, links):
-            yield f"{source}/{len(triples)}", f"{sorted(links)[0]}/{len(links)}"
+            def finish(self):
+                yield "page", " ".join(self.told)
+
+        return Recorder
 
-        return match
+    return set_up
+
+
+def told(*tables, **settings):
+    return sorted((r.pageUrl, r.dbPediaUri) for r in per_page(recorder(), **settings)(*tables).collect())
 
+
+def test_strategy_sees_whole_pages_in_order(tables, table):
     *parts, _ = tables
-    assert rows(per_page(lambda: set_up())(*parts)) == [
-        ("p1", "one/5", WIKI + "Ann_Lee/4"), ("p2", "two/2", WIKI + "Ann_Lee/2"),
-        ("p5", "five/1", WIKI + "Tokyo/1"),
+    links = parts[2].unionAll(table("url anchorText wikiLink", [(None, "x", "l"), ("p2", "x", None)]))
+    assert told(parts[0], parts[1], links) == [
+        ("p1", 'one Lee Lee Bob ody _:a"Ann Lee" _:a_:b _:b"Bob!" _:b_:x _:x"Nobody"'),
+        ("p2", 'two one Lee nn) _:a"ann lee" _:nNone'),
+        ("p5", 'five kyo _:e"東京"'),
     ]
+    late = told(*parts, order=[F.col("link").isNotNull(), F.col("obj").isNotNull()])
+    assert late[1] == ("p2", 'two _:nNone _:a"ann lee" Lee nn)')
+
+
+def test_only_pages_with_links_and_annotations_count(table):
+    """Also where the order puts annotations first."""
+    pages = table("url content", [("both", "x"), ("links", "x"), ("triples", "x"), ("none", "x"), (None, "x")])
+    links = table("url wikiLink", [("both", "l"), ("links", "l"), ("no page", "l"), (None, "l")])
+    triples = table(
+        "url subject predicate obj", [(u, "s", "p", "o") for u in ("both", "triples", "no page", None)]
+    )
+    for order in (None, [F.col("subject").isNull()]):
+        assert [url for url, _ in told(pages, triples, links, order=order)] == ["both"]
+
+
+def test_versions_and_copies_of_a_page(table):
+    pages = table("url content", [("p", "a"), ("p", "b"), ("p", "a"), ("p", None), ("p", None)])
+    links, triples = table("url wikiLink", [("p", "l")]), table("url subject predicate obj", [("p", "s", "p", "o")])
+    assert told(pages, triples, links) == sorted([("p", "None l so")] * 2 + [("p", "a l so")] * 2 + [("p", "b l so")])
+    assert told(pages, triples, links, content=False) == [("p", "None l so")] * 5
+
+
+def test_hot_page_in_bounded_memory(spark):
+    """A page with a third of all rows is seen item by item; set-up runs once per task."""
+    import sys
+
+    def set_up():
+        made = []
+
+        class Counted:
+            def __init__(self, url, content):
+                made.append(url)
+                self.links = self.triples = 0
+
+            def add_link(self, link):
+                self.links += 1
+
+            def add_triple(self, subject, predicate, obj):
+                self.triples += 1
+
+            def finish(self):
+                import resource
+
+                peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+                yield f"{self.links} {self.triples}", f"{len(made)} {peak}"
+
+        return Counted
+
+    url = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 1000))
+    base = spark.range(0, 900_000, numPartitions=8).select(url.alias("url"), "id")
+    noise = F.sha2(F.col("id").cast("string"), 512)
+    triples = base.select("url", noise.alias("subject"), F.lit("p").alias("predicate"), F.lit("o").alias("obj"))
+    pages = base.select("url").distinct().withColumn("content", F.lit("x" * 1000))
+    found = {r.pageUrl: r for r in per_page(set_up)(pages, triples, base.select("url", noise.alias("wikiLink"))).collect()}
+    assert found["hot"].localEntityUri == "300000 300000"
+    assert max(int(r.dbPediaUri.split()[0]) for r in found.values()) > 50
+    # 600,000 items of 128 characters and their Python objects would take over 100 MB.
+    peaks = [int(r.dbPediaUri.split()[1]) for r in found.values()]
+    assert int(found["hot"].dbPediaUri.split()[1]) <= min(peaks) + 60, sys.version
 
 
 def test_knowledge_base(tables):
@@ -255,24 +328,63 @@ def test_lists_are_whole_and_bounded(spark, table):
         F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 50)).alias("url"),
         F.concat(F.lit("s"), F.col("id") % 300).alias("subject"),
         F.lit("<p>").alias("predicate"),
-        F.lit("o").alias("obj"),
+        F.when(F.col("id") % 7 > 0, "o").alias("obj"),
     )
-    lists = grouping.triples_by_page(annotations, part_items=20).cache()
-    assert lists.groupBy("url").count().where("url != 'hot' and count > 1").isEmpty()
-    assert lists.where("url = 'hot'").count() > 10
-    assert lists.agg(F.max(F.size("triples"))).first()[0] <= 40
-    items = lists.select("url", F.inline("triples"))
-    again = items.select("url", "subject", "predicate", "obj", F.explode(F.sequence(F.lit(1), "copies")))
-    assert rows(again.drop("col")) == rows(annotations)
+    for part_items in (1, 7, 20, 10_000):
+        lists = grouping.triples_by_page(annotations, part_items).collect()
+        pages = {}
+        for r in sorted(lists, key=lambda r: (r.url, r.part)):
+            pages.setdefault(r.url, []).append((r.part, r.triples))
+        assert len(pages) == 51
+        for parts in pages.values():
+            assert [part for part, _ in parts] == list(range(len(parts)))
+            assert all(len(items) == part_items for _, items in parts[:-1])
+            keys = [tuple(v or "" for v in i[:3]) for _, items in parts for i in items]
+            assert keys == sorted(set(keys))
+        again = sorted(
+            (r.url, i.subject, i.predicate, str(i.obj)) for r in lists for i in r.triples for _ in range(i.copies)
+        )
+        assert again == sorted((r.url, r.subject, r.predicate, str(r.obj)) for r in annotations.collect())
 
 
 def test_links_of_pages_without_address_stay_together(table):
     links = table("url wikiLink", [(None, "a"), (None, "a"), (None, "b"), ("u", "a"), ("u", None)])
-    lists = grouping.wikilinks_by_page(links)
-    found = {(r.url, r.part): sorted((str(i.wikiLink), i.copies) for i in r.wikilinks) for r in lists.collect()}
+    lists = grouping.wikilinks_by_page(links, 10)
+    found = {(r.url, r.part): [(str(i.wikiLink), i.copies) for i in r.wikilinks] for r in lists.collect()}
     assert found == {(None, 0): [("a", 2), ("b", 1)], ("u", 0): [("None", 1), ("a", 1)]}
 
 
+def test_pages_with_lists(tables):
+    pages, annotations, links, _ = tables
+    whole = {r.url: r for r in grouping.pages_with_lists(pages, annotations, links, 100).collect()}
+    assert set(whole) == {"p1", "p2", "p5"}
+    assert whole["p1"].content == "one" and whole["p1"].part == 0 and len(whole["p1"].triples) == 5
+    assert [(i.wikiLink, i.copies) for i in whole["p1"].wikilinks] == [
+        (WIKI + "Ann_Lee", 2), (WIKI + "Bob", 1), ("https://example.org/Nobody", 1),
+    ]
+    small = grouping.pages_with_lists(pages.unionAll(pages), annotations, links, 2).collect()
+    found = sorted((r.part, str(r.content), len(r.triples), len(r.wikilinks)) for r in small if r.url == "p1")
+    assert found == [(0, "one", 2, 2)] * 2 + [(1, "None", 2, 1)] * 2 + [(2, "None", 1, 0)] * 2
+    assert grouping.pages_with_lists(pages, annotations, links.where("false"), 2).count() == 0
+
+
+def test_ranks_over_runs(spark, with_conf):
+    """A page that lies in many runs, and pages at their borders."""
+    items = spark.range(5000).select(
+        F.when(F.col("id") < 3000, "m").otherwise(F.concat(F.lit("u"), F.col("id") % 17)).alias("url"),
+        F.format_string("%05d", "id").alias("item"),
+    )
+    for runs in ("1", "7", "40"):
+        with_conf(spark__sql__shuffle__partitions=runs)
+        pages = {}
+        for r in grouping.ranked(items, "item").collect():
+            pages.setdefault(r.url, []).append((r["rank"], r["item"]))
+        for found in pages.values():
+            ordered_items = sorted(found)
+            assert [rank for rank, _ in ordered_items] == list(range(len(found)))
+            assert [i for _, i in ordered_items] == sorted(i for _, i in found)
+
+
 def test_pages_with_both(tables):
     pages, annotations, links, _ = tables
     assert rows(grouping.pages_with_both(pages, annotations, links)) == [
@@ -329,13 +441,6 @@ def test_hot_pages_are_split(hot):
     assert skewed(joined) == 1
 
 
-def test_hot_bundles_are_split(hot):
-    few = hot["annotations"].dropDuplicates(["url"])
-    bundles = grouping.page_bundles(hot["pages"], few, hot["links"].dropDuplicates(["url"]))
-    assert len(bundles.collect()) == 60000
-    assert skewed(bundles) == 1
-
-
 def test_hot_subjects_and_objects_are_split(hot):
     mappings = hot["annotations"].where("obj = 'name'").limit(1).unionAll(
         hot["annotations"].where("url != 'hot'")

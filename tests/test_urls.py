@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from pagelore.functions.urls import hostname, url_host
 from pagelore.operators.domains import (
-    MAX_BROADCAST_RULES,
+    compiled_rules,
     parse_suffix_rules,
     suffix_rules,
     top_private_domain,
@@ -115,21 +115,34 @@ def test_own_rules(spark, tmp_path):
     assert {row.url: row.tpd for row in df.collect()} == dict(zip(urls, ["b", "b", "open", "com"]))
 
 
-def test_many_rules_are_not_broadcast_by_force(spark, table, monkeypatch):
-    from pagelore.operators import domains
-
-    expected = rows(top_private_domain(table("url", [(u,) for u in URLS]), "url"))
-    monkeypatch.setattr(domains, "MAX_BROADCAST_RULES", 10)
-    df = top_private_domain(table("url", [(u,) for u in URLS]), "url")
-    assert rows(df) == expected
-    assert MAX_BROADCAST_RULES > suffix_rules(spark).count()
+def test_rules_of_any_number_give_the_same(spark, table, with_conf):
+    """Many rules of one last label, joined without a broadcast, with hot hosts."""
+    more = spark.range(20_000).select(
+        F.concat(F.lit("x"), "id", F.lit(".s"), F.col("id") % 97, F.lit(".zz")).alias("suffix"),
+        F.lit(3).alias("labels"), F.lit(1).alias("kinds"),
+    ).unionByName(spark.createDataFrame([("zz", 1, 1)], "suffix string, labels int, kinds int"))
+    urls = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, "http://a.b.x7.s7.zz/").otherwise(
+            F.concat(F.lit("http://w.v"), "id", F.lit(".x"), "id", F.lit(".s"), F.col("id") % 97, F.lit(".zz/"))
+        ).alias("url")
+    )
+    expected = rows(top_private_domain(urls, "url", rules=more))
+    assert set(expected) == {("http://a.b.x7.s7.zz/", "b")} | {
+        (f"http://w.v{i}.x{i}.s{i % 97}.zz/", f"v{i}") for i in range(0, 3000, 3)
+    }
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert rows(top_private_domain(urls, "url", rules=more)) == expected
+    by_last = {r.last: r for r in compiled_rules(more).collect()}
+    assert by_last["zz"].depth == 3 and sum(map(len, by_last["zz"].buckets)) == 20_001
+    assert max(map(len, by_last["zz"].buckets)) < 30
 
 
 def test_top_private_domain_does_not_shuffle(table):
+    """One join for all rule lengths, and the urls stay where they are."""
     plan = top_private_domain(table("url", [("http://a.com/",)]), "url")._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "Exchange hashpartitioning" not in text
-    assert text.count("BroadcastHashJoin") == 5
+    assert text.count("BroadcastHashJoin") == 1
 
 
 @pytest.mark.parametrize(
