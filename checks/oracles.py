@@ -281,3 +281,14 @@ ORACLES: dict[str, str] = {
     "job_knowledge_base": _KNOWLEDGE_BASE,
     "sink_overwrite": _URL_PAGES,
 }
+
+# The same results in another way.
+for _name, _of in {
+    "feed_attrs_sql": "feed_attrs",
+    "cleaned_names_sql": "cleaned_names",
+    "name_annotations_sql": "name_annotations",
+    "wiki_titles_sql": "wiki_titles",
+    "pages_triples_links_by_page": "pages_triples_links",
+    "job_knowledge_base_by_page": "job_knowledge_base",
+}.items():
+    ORACLES[_name] = ORACLES[_of]

@@ -1,5 +1,6 @@
 """One query per operator and job, over inputs derived from the whole given tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.inputs import derive
+from pagelore.functions import sql as sql_functions
 from pagelore.functions.annotations import clean_name, wiki_title
 from pagelore.functions.urls import hostname
 from pagelore.operators import extraction, grouping, matching, substitution
@@ -97,6 +99,44 @@ def wiki_titles(spark, sf_dir):
     return links.select("url", "wikiLink", wiki_title(F.col("wikiLink")).alias("title"))
 
 
+# --- the same through functions of SQL ---------------------------------------------------
+
+
+def _by_sql(spark, sf_dir, text, rows) -> DataFrame:
+    sql_functions.register(spark)
+    return spark.sql(text, t=rows)
+
+
+@query
+def feed_attrs_sql(spark, sf_dir):
+    return _by_sql(
+        spark, sf_dir,
+        "SELECT page, tag, lower(type) AS type, page_hostname(page) AS hostname,"
+        " tag_rel(tag) AS rel, tag_href(tag) AS href, tag_title(tag) AS title FROM {t}",
+        derive(spark, sf_dir, inputs.FEED_TAGS),
+    )
+
+
+@query
+def cleaned_names_sql(spark, sf_dir):
+    names = derive(spark, sf_dir, inputs.NAMES)
+    return _by_sql(spark, sf_dir, "SELECT name, clean_name(flat_text(name)) AS cleaned FROM {t}", names)
+
+
+@query
+def name_annotations_sql(spark, sf_dir):
+    quads = parse_quads(derive(spark, sf_dir, inputs.QUAD_LINES))
+    text = "SELECT subject, predicate, obj, url FROM {t} WHERE is_name_predicate(predicate)"
+    return _by_sql(spark, sf_dir, text, quads)
+
+
+@query
+def wiki_titles_sql(spark, sf_dir):
+    links = inputs.shop_links(inputs.shop(spark, sf_dir))
+    text = "SELECT url, wikiLink, wiki_title(wikiLink) AS title FROM {t}"
+    return _by_sql(spark, sf_dir, text, links)
+
+
 # --- page markup -------------------------------------------------------------------------
 
 
@@ -180,6 +220,22 @@ def pages_triples_links(spark, sf_dir):
     return grouping.pages_with_both(*_shop(spark, sf_dir))
 
 
+def _laid_out_by_page(spark, sf_dir, buckets=64) -> list[str]:
+    """The three tables of the shop in the catalog, their files in the shared folder."""
+    names = []
+    for name, rows in zip(("pages", "annotations", "links"), _shop(spark, sf_dir)):
+        names.append(f"{name}_{uuid.uuid4().hex}")
+        writers.write_by_page(rows, names[-1], buckets, path=fresh_path(spark, name))
+    return names
+
+
+@query
+def pages_triples_links_by_page(spark, sf_dir):
+    """The same over tables laid out by page."""
+    tables = [spark.table(name) for name in _laid_out_by_page(spark, sf_dir)]
+    return grouping.pages_with_both(*tables, by_page=True)
+
+
 @query
 def page_wiki_titles(spark, sf_dir):
     return matching.page_wiki_titles(inputs.shop_links(inputs.shop(spark, sf_dir)))
@@ -446,6 +502,17 @@ def job_knowledge_base(spark, sf_dir):
     )
 
 
+@query
+def job_knowledge_base_by_page(spark, sf_dir):
+    tables = _laid_out_by_page(spark, sf_dir)
+    dictionary = inputs.shop_dictionary(spark, sf_dir)
+    mentions = _written(spark, "dictionary", dictionary.write.parquet)
+    return _job_output(
+        spark, "knowledge-base",
+        lambda out: jobs.build_knowledge_base_by_name(spark, *tables, out, mentions, tables=True),
+    )
+
+
 @query
 def sink_overwrite(spark, sf_dir):
     """Writing twice with overwrite leaves the second table."""

@@ -33,7 +33,7 @@ def build_parser() -> argparse.ArgumentParser:
             elif parameter.default is False:
                 command.add_argument(_option(parameter.name), action="store_true")
             else:
-                kind = int if parameter.name in ("files", "min_partitions") else str
+                kind = int if parameter.name in ("files", "min_partitions", "buckets") else str
                 command.add_argument(
                     _option(parameter.name), type=kind, default=parameter.default
                 )
@@ -47,7 +47,9 @@ def _option(name: str) -> str:
 def main(arguments: list[str] | None = None) -> None:
     chosen = vars(build_parser().parse_args(arguments))
     name = chosen.pop("job")
-    JOBS[name](build_session(f"pagelore-{name}"), **chosen)
+    report = JOBS[name](build_session(f"pagelore-{name}"), **chosen)
+    if report:
+        print(*(f"{what}: {n}" for what, n in report.items()), sep="\n")
 
 
 if __name__ == "__main__":

@@ -88,13 +88,18 @@ def _lists_by_page(
 
 
 def pages_with_both(
-    pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame
+    pages: DataFrame, annotations: DataFrame, wiki_links: DataFrame, by_page: bool = False
 ) -> DataFrame:
     """Pages that have annotations and links, with the number of each.
 
     Annotations and links are counted together before they are shuffled, so pages meet
-    one small table, once.
+    one small table, once. With ``by_page`` all three are tables laid out by page
+    (:func:`~pagelore.sources.writers.write_by_page`), and nothing is shuffled.
     """
+    if by_page:
+        triples = annotations.groupBy("url").agg(F.count("*").alias("n_triples"))
+        links = wiki_links.groupBy("url").agg(F.count("*").alias("n_wikilinks"))
+        return pages.join(triples, "url").join(links, "url")
     items = annotations.select("url", F.lit(1).alias("triple"), F.lit(0).alias("link")).unionAll(
         wiki_links.select("url", F.lit(0).alias("triple"), F.lit(1).alias("link"))
     )

@@ -3,9 +3,18 @@
 ``files`` is the number of output files of the compacting jobs, and of their tasks. Left out,
 jobs that parse use all tasks and merge their rows by size afterwards; compaction without
 parsing works the number out from the size of the input.
+
+With ``buckets``, the target of the jobs on pages is a table of the catalog, laid out by page;
+the knowledge base then reads ``tables`` instead of folders.
+
+Jobs that may meet bad input return how many rows they wrote and how many of these, or of the
+lines left out, were bad. The counts are made on the way, in the same pass.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from pagelore.fixed_values import QUAD_ERROR_SUBJECT
 
 from pagelore.operators.domains import suffix_rules
 from pagelore.operators.enrichment import parse_feeds, with_hostname
@@ -18,16 +27,21 @@ from pagelore.operators.substitution import (
     substitute_objects,
     substitute_subjects,
 )
-from pagelore.plans.sizing import sized_shuffles
+from pagelore.plans.sizing import joined_by_page, sized_shuffles
 from pagelore.sources import readers, writers
 from pagelore.sources.staging import cut_lineage
 
 
 def transform_feeds(
     spark: SparkSession, source: str, target: str, files: int | None = None, escape: str = '"'
-) -> None:
+) -> dict[str, int]:
     feeds = parse_feeds(readers.read_feeds_csv(spark, source, escape=escape))
+    feeds, report = _counted(
+        feeds, no_hostname=_empty("hostname"), no_rel=_empty("rel"), no_href=_empty("href"),
+        no_title=_empty("title"),
+    )
     writers.write_parquet(_merged(feeds, files), target)
+    return report.get
 
 
 def urls_to_parquet(
@@ -37,13 +51,17 @@ def urls_to_parquet(
     writers.write_parquet(_merged(urls, files), target)
 
 
-def transform_urls(spark: SparkSession, source: str, target: str) -> None:
-    writers.write_parquet(with_hostname(readers.read_parquet(spark, source)), target)
+def transform_urls(spark: SparkSession, source: str, target: str) -> dict[str, int]:
+    urls, report = _counted(
+        with_hostname(readers.read_parquet(spark, source)), no_hostname=_empty("hostname")
+    )
+    writers.write_parquet(urls, target)
+    return report.get
 
 
-def transform_anchors(spark: SparkSession, source: str, target: str) -> None:
+def transform_anchors(spark: SparkSession, source: str, target: str) -> dict[str, int]:
     """The same as for urls; other columns pass through."""
-    transform_urls(spark, source, target)
+    return transform_urls(spark, source, target)
 
 
 def compact_parquet(
@@ -54,9 +72,9 @@ def compact_parquet(
 
 
 def raw_pages_to_parquet(
-    spark: SparkSession, source: str, target: str, fixed: bool = False
+    spark: SparkSession, source: str, target: str, fixed: bool = False, buckets: int | None = None
 ) -> None:
-    writers.write_parquet(readers.read_pages_json(spark, source, infer=not fixed), target)
+    _write(readers.read_pages_json(spark, source, infer=not fixed), target, buckets)
 
 
 def quads_to_parquet(
@@ -66,16 +84,27 @@ def quads_to_parquet(
     on_error: str = "keep",
     rules_path: str | None = None,
     min_partitions: int | None = None,
-) -> None:
+    buckets: int | None = None,
+) -> dict[str, int]:
     rules = None if rules_path is None else suffix_rules(spark, rules_path)
     lines = readers.read_lines(spark, source, min_partitions)
-    writers.write_parquet(annotations_from_quads(lines, on_error=on_error, rules=rules), target)
+    lines, report = _counted(lines)
+    quads, kept = _counted(
+        annotations_from_quads(lines, on_error=on_error, rules=rules),
+        marked=F.col("subject") == QUAD_ERROR_SUBJECT,
+    )
+    _write(quads, target, buckets)
+    bad = report.get["rows"] - kept.get["rows"] + kept.get["marked"]
+    return {"rows": kept.get["rows"], "bad_lines": bad}
 
 
 def wiki_links_to_parquet(
-    spark: SparkSession, source: str, target: str, on_bad: str = "fail"
-) -> None:
-    writers.write_parquet(readers.read_wiki_links_tsv(spark, source, on_bad), target)
+    spark: SparkSession, source: str, target: str, on_bad: str = "fail", buckets: int | None = None
+) -> dict[str, int]:
+    lines, report = _counted(readers.read_lines(spark, source))
+    links, kept = _counted(readers.split_wiki_links(lines, on_bad))
+    _write(links, target, buckets)
+    return {"rows": kept.get["rows"], "bad_lines": report.get["rows"] - kept.get["rows"]}
 
 
 def extract_wiki_paragraphs(
@@ -94,20 +123,30 @@ def extract_tweet_links(
 
 def build_knowledge_base(
     spark: SparkSession, pages: str, annotations: str, wiki_links: str, target: str,
-    strategy: Strategy,
+    strategy: Strategy, tables: bool = False,
 ) -> None:
-    """Match the entities of all pages and rewrite the annotations; replaces the target."""
-    tables = [readers.read_parquet(spark, path) for path in (pages, annotations, wiki_links)]
-    with sized_shuffles(spark, annotations, wiki_links):
-        writers.write_parquet(knowledge_base(*tables, strategy), target, overwrite=True)
+    """Match the entities of all pages and rewrite the annotations; replaces the target.
+
+    With ``tables`` the inputs are names of tables laid out by page. Annotations and pages then
+    stay where they are; only what is looked up on a page is moved to it.
+    """
+    names = (pages, annotations, wiki_links)
+    if tables:
+        found = [spark.table(name) for name in names]
+        settings = joined_by_page(spark)
+    else:
+        found = [readers.read_parquet(spark, path) for path in names]
+        settings = sized_shuffles(spark, annotations, wiki_links)
+    with settings:
+        writers.write_parquet(knowledge_base(*found, strategy), target, overwrite=True)
 
 
 def build_knowledge_base_by_name(
     spark: SparkSession, pages: str, annotations: str, wiki_links: str, target: str,
-    dictionary: str,
+    dictionary: str, tables: bool = False,
 ) -> None:
     strategy = name_exact_match(readers.read_dictionary(spark, dictionary))
-    build_knowledge_base(spark, pages, annotations, wiki_links, target, strategy)
+    build_knowledge_base(spark, pages, annotations, wiki_links, target, strategy, tables)
 
 
 def knowledge_base(
@@ -127,3 +166,21 @@ def knowledge_base(
 
 def _merged(df: DataFrame, files: int | None) -> DataFrame:
     return writers.compact(df, files) if files else writers.merge_small(df)
+
+
+def _write(df: DataFrame, target: str, buckets: int | None) -> None:
+    if buckets is None:
+        writers.write_parquet(df, target)
+    else:
+        writers.write_by_page(df, target, buckets)
+
+
+def _empty(column: str) -> Column:
+    return F.col(column) == ""
+
+
+def _counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """Count rows, and those that meet each condition, while the table is written."""
+    report = Observation()
+    counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+    return df.observe(report, F.count("*").alias("rows"), *counts), report

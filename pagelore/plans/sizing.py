@@ -11,6 +11,8 @@ from pagelore.sources.writers import input_bytes
 # Input files are compressed; this much of them makes a partition that sorts in memory.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 _SETTING = "spark.sql.shuffle.partitions"
+# Whether two sides must be dealt out by all join keys, or some of them (the page) will do.
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def shuffle_partitions(spark: SparkSession, *paths: str) -> int:
@@ -22,9 +24,22 @@ def shuffle_partitions(spark: SparkSession, *paths: str) -> int:
 @contextmanager
 def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[None]:
     """Use that many partitions for the queries inside; Spark merges those that stay small."""
-    before = spark.conf.get(_SETTING)
-    spark.conf.set(_SETTING, str(shuffle_partitions(spark, *paths)))
+    with _setting(spark, _SETTING, str(shuffle_partitions(spark, *paths))):
+        yield
+
+
+@contextmanager
+def joined_by_page(spark: SparkSession) -> Iterator[None]:
+    """Let tables laid out by page stay where they are in joins by page and something else."""
+    with _setting(spark, _ALL_KEYS, "false"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_SETTING, before)
+        spark.conf.set(name, before)
