@@ -122,10 +122,12 @@ SELECT o_orderkey AS k, c_custkey AS c, c_name, n_name, o_orderpriority, o_order
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
 """
 
-# Orders that are still pending have no page.
+# The page of an order that is still pending has another address than what is said of it.
 SHOP_PAGES = f"""
-SELECT url, '<p>Order ' || cast(k as string) || '</p>' AS content
-FROM ({SHOP}) shop WHERE o_orderstatus <> 'P'
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'http://pending.example.com/o/' || cast(k as string)
+    ELSE url END AS url,
+  '<p>Order ' || cast(k as string) || '</p>' AS content
+FROM ({SHOP}) shop
 """
 
 # Every order has one or more of: a link to its customer (twice if urgent), one to another
@@ -206,8 +208,9 @@ def shop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_pages(shop: DataFrame) -> DataFrame:
-    content = _text("<p>Order ", "k", "</p>").alias("content")
-    return shop.where(F.col("o_orderstatus") != "P").select("url", content)
+    pending = F.col("o_orderstatus") == "P"
+    url = F.when(pending, _text("http://pending.example.com/o/", "k")).otherwise(F.col("url"))
+    return shop.select(url.alias("url"), _text("<p>Order ", "k", "</p>").alias("content"))
 
 
 def shop_links(shop: DataFrame) -> DataFrame:

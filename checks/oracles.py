@@ -196,7 +196,7 @@ _TRIPLE_PARTS = _parts("annotations_", "subject, predicate, obj")
 _LINK_PARTS = _parts("links_", '"wikiLink"')
 _URL_PAGES = f"""
 SELECT url AS page FROM pages UNION ALL
-SELECT page FROM {_over(inputs.EDGE_URLS)} WHERE page IS NOT NULL
+SELECT coalesce(page, '') AS page FROM {_over(inputs.EDGE_URLS)}
 """
 _EDGE_HOSTS = f"""
 SELECT event_id, page, {_hostname("page")} AS hostname FROM {_over(inputs.EDGE_URLS)}

@@ -367,7 +367,8 @@ def _tsv_links(spark, sf_dir) -> str:
 
 def _url_pages(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages").select(F.col("url").alias("page"))
-    return pages.unionAll(derive(spark, sf_dir, inputs.EDGE_URLS).select("page").dropna())
+    # A CSV line without a field is no row: addresses that are null are written as empty ones.
+    return pages.unionAll(derive(spark, sf_dir, inputs.EDGE_URLS).select("page").fillna(""))
 
 
 @query

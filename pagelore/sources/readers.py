@@ -26,9 +26,9 @@ def read_feeds_csv(spark: SparkSession, path: str, escape: str = '"', **options)
 
 
 def read_urls_csv(spark: SparkSession, path: str, escape: str = '"', **options) -> DataFrame:
-    """Headerless CSV -> page. Surplus fields are left out."""
+    """Headerless CSV -> page. Surplus fields are left out; an empty address is ''."""
     reader = spark.read.schema(schemas.URLS_RAW).options(header=False, escape=escape, **options)
-    return reader.csv(path)
+    return reader.csv(path).fillna("")
 
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
