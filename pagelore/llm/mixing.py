@@ -195,8 +195,9 @@ def _with_copies(marked: DataFrame, most: int) -> DataFrame:
     spark = marked.sparkSession
     with temporaries(spark):
         per_class = stage(_class_copies(marked, most), "mix-copies", keep=True)
-    keyed = marked.withColumn("mix_class", F.xxhash64(F.coalesce("mix_source", F.lit("\0")), "mix_size"))
-    ranked = rank_within(keyed, "mix_class", "mix_rank", spark)
+    # A struct, so that the null source is a class of its own.
+    keyed = marked.withColumn("mix_class", F.struct("mix_source", "mix_size"))
+    ranked = rank_within(keyed, "mix_class", "mix_rank")
     joined = ranked.join(
         per_class,
         (F.col("mix_size") == F.col("class_size")) & _same("mix_source", "class_source"),

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagelore.llm.storage import stage
 from pagelore.llm.texthash import slices
@@ -20,6 +21,8 @@ from pagelore.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
+#: Rows of one key are ranked in so many parts, as a power of two.
+SALT_BITS = 10
 
 
 class RoomTree:
@@ -144,58 +147,67 @@ def pack(items: DataFrame, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
     columns of the added names are replaced. The table is read twice, so hand in a staged one.
     Lengths outside of the range fail.
     """
-    spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if any(length is None or not 1 <= length <= capacity for length in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     plan = best_fit_plan(counts, capacity)
-    names = [c for c in items.columns if c not in ("sequence_id", "offset")]
-    ranked = rank_within(items.select(*names), "length", "rank", spark)
-    fields = ranked.schema
-    at, rank_at = fields.fieldNames().index("length"), fields.fieldNames().index("rank")
+    names = [c for c in items.columns if c.lower() not in ("sequence_id", "offset")]
+    # Columns go by their number on the way, whatever their names are.
+    at = names.index("length")
+    numbered = items.select(*(F.col(_quoted(c)).alias(f"column{i}") for i, c in enumerate(names)))
+    passed = numbered.schema.fields
+    ranked = rank_within(numbered, f"column{at}", "rank")
     keys = (plan[:, 0] << 44) | plan[:, 1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column(at).cast(pa.int64()).to_numpy(zero_copy_only=False)
-            rank = batch.column(rank_at).to_numpy(zero_copy_only=False)
+            rank = batch.column(len(names)).to_numpy(zero_copy_only=False)
             row = plan[np.searchsorted(keys, (length << 44) | rank, side="right") - 1]
             nth = rank - row[:, 1]
-            columns = [batch.column(i) for i in range(batch.num_columns) if i != rank_at]
             sequence = row[:, 2] + nth // row[:, 3]
             offset = row[:, 4] + nth % row[:, 3] * length
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"]
+                [*batch.columns[: len(names)], pa.array(sequence), pa.array(offset)],
+                [*(f.name for f in passed), "sequence_id", "offset"],
             )
 
-    out = items.select(*names).schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(place, out)
+    out = StructType([*passed]).add("sequence_id", "long").add("offset", "long")
+    placed = ranked.mapInArrow(place, out)
+    return placed.select(
+        *(F.col(f.name).alias(c) for f, c in zip(passed, names)), "sequence_id", "offset"
+    )
 
 
-def rank_within(rows: DataFrame, key: str, name: str, spark) -> DataFrame:
-    """Number the rows of each key from 0, in any order.
+def rank_within(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Number the rows of each key from 0, in any order. The key may be a struct; null is a key.
 
-    Rows are numbered within a key and a salt, and counts before each salt are added, so that
-    a key with a third of all rows is spread over all tasks. The order is that of the row's
-    hash, which a repeated task reproduces.
+    Rows are numbered within a key and the top bits of the row's hash, and counts of lower top
+    bits are added, so that a key with a third of all rows is spread over many tasks. The order
+    is that of the hash, whatever the settings of the session, so repeated tasks and reruns
+    agree. Columns may have any names.
     """
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tie = F.xxhash64(*rows.columns)
-    salted = rows.withColumn("rank_tie", tie).withColumn("rank_salt", F.pmod("rank_tie", F.lit(salts)))
-    counts = salted.groupBy(F.col(key).alias("rank_key"), F.col("rank_salt").alias("salt_key")).agg(
-        F.count("*").alias("n")
+    hashed = F.xxhash64(*(F.col(_quoted(c)) for c in rows.columns))
+    packed = rows.select(
+        F.struct(*(F.col(_quoted(c)) for c in rows.columns)).alias("row"),
+        F.struct(F.col(_quoted(key)).alias("key")).alias("key"), hashed.alias("tie"),
     )
-    earlier = Window.partitionBy("rank_key").orderBy("salt_key")
-    before = counts.select(
-        "rank_key", "salt_key",
-        F.coalesce(F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+    salted = packed.withColumn("salt", F.shiftrightunsigned("tie", 64 - SALT_BITS))
+    counts = salted.groupBy(F.col("key").alias("of_key"), F.col("salt").alias("of_salt")).agg(
+        F.count("*").alias("n")
     )
-    own = F.row_number().over(Window.partitionBy(key, "rank_salt").orderBy("rank_tie")) - 1
-    numbered = salted.withColumn("rank_own", own)
-    joined = numbered.join(
-        before, (F.col(key) == F.col("rank_key")) & (F.col("rank_salt") == F.col("salt_key"))
+    earlier = Window.partitionBy("of_key").orderBy("of_salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("of_key", "of_salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("key", "salt").orderBy("tie")) - 1
+    joined = salted.withColumn("own", own).join(
+        before, (F.col("key") == F.col("of_key")) & (F.col("salt") == F.col("of_salt"))
     )
-    return joined.select(*rows.columns, (F.col("base") + F.col("rank_own")).cast("long").alias(name))
+    rank = (F.col("before") + F.col("own")).cast("long").alias(name)
+    return joined.select(*(F.col("row")[c].alias(c) for c in rows.columns), rank)
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
 def pack_documents(

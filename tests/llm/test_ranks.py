@@ -1,0 +1,71 @@
+"""Ranks within classes: free of settings and names, with null and odd sources."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagelore.llm import mixing, packing
+
+
+@pytest.fixture
+def partitions(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, str(n))
+    spark.conf.set(name, before)
+
+
+def test_sources_that_look_like_null_have_their_own_ranks(spark):
+    """30 documents of 5 words for each of the sources null, '' and U+0000."""
+    rows = [(i, f"w{i} a b c d", (None, "", "\0")[i % 3]) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = {}, {}
+    for r in mixing.mixed_sizes(docs).collect():
+        source = rows[r.doc_id][2]
+        taken[source] = taken.get(source, 0) + r.size * r.copies
+        target[source] = r.target
+    assert target == {"": pytest.approx(75), "\0": pytest.approx(150), None: pytest.approx(225)}
+    assert all(abs(taken[s] - target[s]) <= 5 for s in taken)
+
+
+def test_the_mix_does_not_depend_on_partitions(spark, partitions):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 3).alias("source"),
+    )
+    found = []
+    for n in (3, 7):
+        partitions(n)
+        found.append(sorted((r.doc_id, r.copies) for r in mixing.mixed_sizes(docs).collect()))
+    assert found[0] == found[1] and len(found[0]) == 400
+
+
+def test_rank_within_hot_and_null_keys(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("key"), (F.col("id") % 50).alias("tie")
+    )
+    ranks = {}
+    for r in packing.rank_within(rows, "key", "salt").collect():
+        ranks.setdefault(r.key, []).append(r.salt)
+    assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(1000)) for k in (None, 1, 2)}
+
+
+def test_pack_with_clashing_names(spark):
+    """Names that the steps inside use, other cases of the added ones, and full stops."""
+    names = ("rank", "base", "rank_key", "rank_own", "row", "key", "tie", "salt", "column0", "n", "a.b", "Offset")
+    items = spark.range(200).select(
+        (F.col("id") % 40 + 1).alias("length"), *(F.lit(i).alias(n) for i, n in enumerate(names)),
+        F.array(F.lit(1)).alias("list"),
+    )
+    packed = packing.pack(items, 64)
+    assert packed.columns == ["length", *names[:-1], "list", "sequence_id", "offset"]
+    placed = packed.collect()
+    assert len(placed) == 200 and all([r[n] for n in names[:-1]] == list(range(len(names) - 1)) for r in placed)
+    by_sequence = {}
+    for r in placed:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
