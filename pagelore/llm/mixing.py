@@ -16,10 +16,10 @@ from pagelore.llm.packing import rank_within
 from pagelore.llm.storage import stage, temporaries
 
 MOST_COPIES = 3
-#: Newton stops when every source is this near its target, as a share of it, or after so many
-#: steps; rounding makes up for what is left.
+#: Newton stops when every source is this near its target, as a share of it; rounding makes up
+#: for what is left. It fails if so many steps, far more than halving needs, do not get there.
 NEAR = 1e-5
-STEPS = 40
+STEPS = 200
 
 
 def word_count(text: Column) -> Column:
@@ -110,6 +110,8 @@ def balanced_rates(counts: DataFrame, targets: DataFrame, most: int = MOST_COPIE
         state = moved.drop("near")
         if moved.where(~F.col("near")).isEmpty():
             break
+    else:
+        raise RuntimeError("a source's rates do not meet its target")
     found = state.select("tilt_source", "tilt", "mean")
     return counts.join(found, _same("source", "tilt_source"), "left").select(
         "source", "words", "n", F.coalesce(rate, F.lit(1.0)).alias("rate")

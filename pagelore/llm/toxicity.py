@@ -22,9 +22,8 @@ BITS = 22
 #: all features of each. One task learns from them, as each step needs the one before. Scoring
 #: has no such limit.
 SAMPLE_ROWS = 20_000
-#: Passes over the sample; small samples are seen more often, up to MOST_PASSES times.
-PASSES = 4
-MOST_PASSES = 30
+#: Passes over the sample, whatever its size.
+PASSES = 8
 THRESHOLD = 0.3
 
 
@@ -146,8 +145,7 @@ def fit(
             for i, label in enumerate(batch.column(1).to_numpy()):
                 rows.append((np.append(at[edges[i] : edges[i + 1]], np.int32(1 << bits)), label))
         state = Ftrl((1 << bits) + 1)
-        passes = min(MOST_PASSES, max(PASSES, sample_rows // max(len(rows), 1)))
-        for _ in range(passes):
+        for _ in range(PASSES):
             for at, label in rows:
                 state.learn(at, label)
         weights = state.weights(slice(None))
