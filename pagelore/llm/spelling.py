@@ -11,7 +11,6 @@ A state with too many words below is expanded by one symbol and dealt out again.
 import zlib
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
