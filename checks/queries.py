@@ -177,8 +177,8 @@ def _shop(spark, sf_dir):
     return inputs.shop_pages(shop), inputs.shop_annotations(shop), inputs.shop_links(shop)
 
 
-def _by_name(spark, sf_dir):
-    return matching.name_exact_match(inputs.shop_dictionary(spark, sf_dir))
+def _by_name(spark, sf_dir, counted=False):
+    return matching.name_exact_match(inputs.shop_dictionary(spark, sf_dir), counted=counted)
 
 
 # Few items a part, so that the pages of the check inputs have several.
@@ -335,7 +335,7 @@ def subject_substitution(spark, sf_dir):
 
 @query
 def object_substitution(spark, sf_dir):
-    return jobs.knowledge_base(*_shop(spark, sf_dir), _by_name(spark, sf_dir))
+    return jobs.knowledge_base(*_shop(spark, sf_dir), _by_name(spark, sf_dir, counted=True))
 
 
 # --- sources and sinks: write, read back ---------------------------------------------------

@@ -14,8 +14,10 @@ _BLOCK = 100_000
 
 
 def count_copies(mappings: DataFrame) -> DataFrame:
-    """Merge equal mappings and count them; most of the merging happens before the shuffle."""
-    return mappings.groupBy(schemas.MAPPINGS.names).agg(F.count("*").alias("copies"))
+    """Merge equal mappings and count them; most of the merging happens before the shuffle.
+    Mappings that are counted already are added up."""
+    copies = F.sum("copies") if _copies(mappings) else F.count("*")
+    return mappings.groupBy(schemas.MAPPINGS.names).agg(copies.alias("copies"))
 
 
 def repeat_copies(df: DataFrame) -> DataFrame:

@@ -145,7 +145,7 @@ def build_knowledge_base_by_name(
     spark: SparkSession, pages: str, annotations: str, wiki_links: str, target: str,
     dictionary: str, tables: bool = False,
 ) -> None:
-    strategy = name_exact_match(readers.read_dictionary(spark, dictionary))
+    strategy = name_exact_match(readers.read_dictionary(spark, dictionary), counted=True)
     build_knowledge_base(spark, pages, annotations, wiki_links, target, strategy, tables)
 
 
