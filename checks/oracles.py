@@ -267,6 +267,12 @@ ORACLES: dict[str, str] = {
     "src_text_lines": f"SELECT value FROM {_over(inputs.QUAD_LINES)}",
     "src_pages_json": _PAGES,
     "src_pages_json_inferred": _PAGES,
+    "src_pages_json_drifting": f"""
+        SELECT url, content,
+          CASE length(url) % 3 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING' END AS kind,
+          CASE length(url) % 3 WHEN 0 THEN cast(length(content) AS varchar)
+            WHEN 1 THEN substr(url, 1, 12) END AS mark
+        FROM {_over(inputs.LINKED_PAGES)}""",
     "src_pages_jsonl": _PAGES,
     "src_wiki_tsv": _LINKS,
     "compact_parquet": _FEEDS,

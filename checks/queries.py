@@ -400,6 +400,24 @@ def src_pages_json_inferred(spark, sf_dir):
     return readers.read_pages_json(spark, path, infer=True).select("url", "content")
 
 
+@query
+def src_pages_json_drifting(spark, sf_dir):
+    """A field that is a number on some lines, a text on others and missing on the rest."""
+    pages = derive(spark, sf_dir, inputs.LINKED_PAGES)
+    line = lambda *mark: F.to_json(F.struct("url", "content", *mark))
+    kind = F.length("url") % 3
+    lines = pages.select(
+        F.when(kind == 0, line(F.length("content").alias("mark")))
+        .when(kind == 1, line(F.substring("url", 1, 12).alias("mark")))
+        .otherwise(line()).alias("value")
+    )
+    path = _written(spark, "pages-json", lines.write.option("compression", "gzip").text)
+    return readers.read_drifting_json(spark, path).select(
+        "url", "content", F.schema_of_variant("mark").alias("kind"),
+        F.try_variant_get("mark", "$", "string").alias("mark"),
+    )
+
+
 @query
 def src_pages_jsonl(spark, sf_dir):
     return readers.read_page_lines(spark, _json_pages(spark, sf_dir, "gzip"), on_bad="fail")

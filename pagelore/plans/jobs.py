@@ -72,9 +72,15 @@ def compact_parquet(
 
 
 def raw_pages_to_parquet(
-    spark: SparkSession, source: str, target: str, fixed: bool = False, buckets: int | None = None
+    spark: SparkSession, source: str, target: str, fixed: bool = False, buckets: int | None = None,
+    drifting: bool = False,
 ) -> None:
-    _write(readers.read_pages_json(spark, source, infer=not fixed), target, buckets)
+    """With ``drifting``, fields that change their kind are kept as they came."""
+    if drifting:
+        pages = readers.read_drifting_json(spark, source)
+    else:
+        pages = readers.read_pages_json(spark, source, infer=not fixed)
+    _write(pages, target, buckets)
 
 
 def quads_to_parquet(

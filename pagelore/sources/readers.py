@@ -1,9 +1,12 @@
 """Readers of the raw dumps. Every path may be a folder or a glob; gzip is read as it is."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelore import schemas
+from pagelore.sources.staging import cut_lineage
 
 
 # Spark's own default leaves out or nulls lines with texts of more than 20 million characters.
@@ -58,6 +61,36 @@ def read_pages_json(
     return reader.json(path) if infer else reader.schema(schemas.PAGES).json(path)
 
 
+def read_drifting_json(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
+    """JSON lines with all their fields, also those that change their kind from line to line.
+
+    Lines are parsed once, to VARIANT, and written to the shared folder; the fields are found by
+    an aggregation there, and come in order of their names. A field that is now a number, now a
+    text, or an object without fields, is a VARIANT column with each value as it came, at any
+    depth; one that is always null is text. Numbers with a point are decimals where they fit.
+    Empty lines are no rows. A line that is no JSON object fails the job or is left out. A line
+    must fit into one VARIANT (128 MB); :func:`read_pages_json` has no such limit.
+    """
+    _check(on_bad)
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"\A\s*\z"))
+    parse = F.parse_json if on_bad == "fail" else F.try_parse_json
+    parsed = lines.select(parse(F.col("value")).alias("line"))
+    objects = F.coalesce(F.schema_of_variant("line").startswith("OBJECT<"), F.lit(False))
+    problem = F.concat(F.lit("no JSON object: "), F.to_json("line"))
+    stored = cut_lineage(_only(parsed, objects, on_bad, problem), "json-lines")
+    found = stored.agg(F.schema_of_variant_agg("line")).first()[0]
+    if not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return spark.createDataFrame([], "struct<>") if found == "VOID" else stored.select()
+    return stored.select(F.col("line").cast(_ddl(found)).alias("row")).select("row.*")
+
+
+def _ddl(found: str) -> str:
+    """The type that Spark gives for variants, as one that columns can have."""
+    names = {"OBJECT<>": "VARIANT", "OBJECT<": "STRUCT<", "VOID": "STRING"}
+    parts = r"`(?:[^`]|``)*`|OBJECT<>|OBJECT<|(?<=[ <])VOID(?=[,>])"
+    return re.sub(parts, lambda part: names.get(part[0], part[0]), found)
+
+
 def read_page_lines(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """JSON lines -> content, url. A line that is no JSON or lacks a field fails the job or is
     left out."""
