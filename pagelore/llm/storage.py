@@ -13,6 +13,8 @@ from pagelore.sources.staging import fresh_path
 
 
 _open = threading.local()
+# Names that Hadoop has for file systems which Arrow calls otherwise.
+_ARROW_NAMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -51,8 +53,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a folder; any place that Arrow reaches (file, hdfs, s3)."""
-    return pafs.FileSystem.from_uri(uri)
+    """File system and path of a folder; any place that Arrow reaches (file, hdfs, s3, gs, abfs).
+
+    The addresses are those of Spark, ``s3a://`` too. ``hdfs`` needs libhdfs on the workers;
+    credentials come from the environment, as Arrow does not see the settings of Hadoop.
+    """
+    scheme, colon, rest = uri.partition("://")
+    return pafs.FileSystem.from_uri(f"{_ARROW_NAMES.get(scheme, scheme)}{colon}{rest}")
 
 
 class FileWriter:

@@ -78,34 +78,34 @@ class EliasFano:
 
     def values(self) -> np.ndarray:
         """All values."""
-        places = np.flatnonzero(np.unpackbits(self.uppers, bitorder="little"))[: self.count]
-        out = (places - np.arange(self.count)) << self.low_bits
-        bits = np.unpackbits(self.lows, count=self.count * self.low_bits, bitorder="little")
-        bits = bits.reshape(self.count, self.low_bits)
-        for b in range(self.low_bits):
-            out |= bits[:, b].astype(np.int64) << b
-        return out
+        return self.selected(0, self.count)
 
     def select(self, i: int) -> int:
-        """Value i, from one sample and the words behind it."""
+        """Value i, from the part between two samples that it lies in."""
         if not 0 <= i < self.count:
             raise IndexError(i)
-        place, left = int(self.samples[i // SAMPLE]), i % SAMPLE
-        byte = place // 8
-        skip = place % 8
-        while True:
-            bits = np.unpackbits(self.uppers[byte : byte + 64], bitorder="little")[skip:]
-            found = np.flatnonzero(bits)
-            if len(found) > left:
-                place = byte * 8 + skip + int(found[left])
-                break
-            left -= len(found)
-            byte, skip = byte + 64, 0
-        first = i * self.low_bits
-        part = self.lows[first // 8 : (first + self.low_bits + 7) // 8]
-        bits = np.unpackbits(part, bitorder="little")[first % 8 : first % 8 + self.low_bits]
-        low = sum(int(bit) << b for b, bit in enumerate(bits))
-        return ((place - i) << self.low_bits) | low
+        return int(self.selected(i, i + 1)[0])
+
+    def selected(self, first: int, last: int) -> np.ndarray:
+        """Values ``first`` to ``last - 1``: the set bits behind the sample before the first,
+        up to the sample behind the last, and their low bits. No other part is decoded."""
+        last = min(last, self.count)
+        if last <= first:
+            return np.zeros(0, dtype=np.int64)
+        sample, behind = first // SAMPLE, -(-last // SAMPLE)
+        begin = int(self.samples[sample])
+        end = int(self.samples[behind]) if behind < len(self.samples) else 8 * len(self.uppers)
+        bits = np.unpackbits(self.uppers[begin // 8 : -(-end // 8)], bitorder="little")
+        bits[: begin % 8] = 0
+        skip = first - sample * SAMPLE
+        places = np.flatnonzero(bits)[skip : skip + last - first] + begin // 8 * 8
+        out = (places - np.arange(first, last)) << self.low_bits
+        begin, end = first * self.low_bits, last * self.low_bits
+        lows = np.unpackbits(self.lows[begin // 8 : -(-end // 8)], bitorder="little")[begin % 8 :]
+        lows = lows[: end - begin].reshape(last - first, self.low_bits)
+        for b in range(self.low_bits):
+            out |= lows[:, b].astype(np.int64) << b
+        return out
 
 
 class ShardReader:
@@ -127,9 +127,23 @@ class ShardReader:
     def close(self) -> None:
         self._file.close()
 
-    def doc_ids(self) -> list[int | None]:
-        named = (self._names.values() + self.lowest).tolist()
-        return [None] * self.nameless + named
+    def doc_ids(self, first: int = 0, last: int | None = None) -> list[int | None]:
+        """Ids of the documents from ``first`` to ``last - 1`` of the shard."""
+        last = self.documents if last is None else last
+        without = max(0, min(last, self.nameless) - first)
+        named = self._names.selected(max(0, first - self.nameless), max(0, last - self.nameless))
+        return [None] * without + (named + self.lowest).tolist()
+
+    def runs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Runs of documents with about a million ids or one long document, at most 1,024 of
+        them: the first one's place, and where each begins and the last one ends. Found by
+        select, run by run."""
+        row = start = 0
+        while row < self.documents:
+            stops = self.boundaries.selected(row, row + 4 * SAMPLE)
+            stops = stops[: max(1, int(np.searchsorted(stops, start + (1 << 20), "right")))]
+            yield row, np.concatenate([[start], stops])
+            row, start = row + len(stops), int(stops[-1])
 
     def between(self, start: int, stop: int) -> np.ndarray:
         width = self._dtype.itemsize
@@ -204,26 +218,22 @@ def read_token_store(catalogue: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 reader = ShardReader(folder, name)
-                stops = reader.boundaries.values()
-                starts = np.concatenate([[0], stops[:-1]])
-                names = pa.array(reader.doc_ids(), pa.int64())
-                row = 0
-                while row < len(stops):
-                    last = max(row + 1, int(np.searchsorted(stops, starts[row] + (1 << 20), "right")))
-                    ids = reader.between(int(starts[row]), int(stops[last - 1])).astype("<u4")
-                    edges = np.append(starts[row:last], stops[last - 1]) - starts[row]
+                for row, edges in reader.runs():
+                    documents = len(edges) - 1
+                    ids = reader.between(int(edges[0]), int(edges[-1])).astype("<u4")
+                    places = (edges - edges[0]) * 4
                     packed = pa.LargeBinaryArray.from_buffers(
-                        pa.large_binary(), last - row,
-                        [None, pa.py_buffer(edges * 4), pa.py_buffer(ids.tobytes())],
+                        pa.large_binary(), documents,
+                        [None, pa.py_buffer(places), pa.py_buffer(ids.tobytes())],
                     )
                     yield pa.RecordBatch.from_arrays(
                         [
-                            names.slice(row, last - row), pa.array(starts[row:last] + base),
-                            pa.array(np.diff(edges)), packed.cast(pa.binary()),
+                            pa.array(reader.doc_ids(row, row + documents), pa.int64()),
+                            pa.array(edges[:-1] + base), pa.array(np.diff(edges)),
+                            packed.cast(pa.binary()),
                         ],
                         ["doc_id", "start", "n_tokens", "ids"],
                     )
-                    row = last
                 reader.close()
 
     # One task a shard: the number is given, as rows so small would all be put into one task.
