@@ -290,6 +290,8 @@ ORACLES: dict[str, str] = {
 
 # The same results in another way.
 for _name, _of in {
+    "src_text_lines_members": "src_text_lines",
+    "job_quads_members": "job_quads",
     "feed_attrs_sql": "feed_attrs",
     "cleaned_names_sql": "cleaned_names",
     "name_annotations_sql": "name_annotations",

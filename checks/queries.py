@@ -18,6 +18,7 @@ from pagelore.operators.per_page import per_page
 from pagelore.operators.quads import annotations_from_quads, parse_quads
 from pagelore.plans import jobs
 from pagelore.sources import readers, writers
+from pagelore.sources.members import read_member_lines, write_member_lines
 from pagelore.sources.staging import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -389,6 +390,14 @@ def src_text_lines(spark, sf_dir):
     return readers.read_lines(spark, path, min_partitions=8)
 
 
+@query
+def src_text_lines_members(spark, sf_dir):
+    """Gzip files of many members, written and read back by ranges of bytes."""
+    lines = derive(spark, sf_dir, inputs.QUAD_LINES)
+    path = _written(spark, "quads", lambda out: write_member_lines(lines, out))
+    return read_member_lines(spark, path)
+
+
 @query
 def src_pages_json(spark, sf_dir):
     return readers.read_pages_json(spark, _json_pages(spark, sf_dir, "none"), infer=False)
@@ -485,6 +494,16 @@ def job_quads(spark, sf_dir):
     return _job_output(spark, "annotations", lambda out: jobs.quads_to_parquet(spark, source, out))
 
 
+@query
+def job_quads_members(spark, sf_dir):
+    """The same from gzip files of many members."""
+    lines = derive(spark, sf_dir, inputs.QUAD_LINES)
+    source = _written(spark, "quads", lambda out: write_member_lines(lines, out))
+    return _job_output(
+        spark, "annotations", lambda out: jobs.quads_to_parquet(spark, source, out, members=True)
+    )
+
+
 @query
 def job_wiki_links(spark, sf_dir):
     source = _tsv_links(spark, sf_dir)

@@ -29,6 +29,7 @@ from pagelore.operators.substitution import (
 )
 from pagelore.plans.sizing import joined_by_page, sized_shuffles
 from pagelore.sources import readers, writers
+from pagelore.sources.members import read_member_lines
 from pagelore.sources.staging import cut_lineage
 
 
@@ -91,9 +92,14 @@ def quads_to_parquet(
     rules_path: str | None = None,
     min_partitions: int | None = None,
     buckets: int | None = None,
+    members: bool = False,
 ) -> dict[str, int]:
+    """With ``members``, gzip files of many members are read by many tasks each."""
     rules = None if rules_path is None else suffix_rules(spark, rules_path)
-    lines = readers.read_lines(spark, source, min_partitions)
+    if members:
+        lines = read_member_lines(spark, source)
+    else:
+        lines = readers.read_lines(spark, source, min_partitions)
     lines, report = _counted(lines)
     quads, kept = _counted(
         annotations_from_quads(lines, on_error=on_error, rules=rules),
@@ -105,9 +111,11 @@ def quads_to_parquet(
 
 
 def wiki_links_to_parquet(
-    spark: SparkSession, source: str, target: str, on_bad: str = "fail", buckets: int | None = None
+    spark: SparkSession, source: str, target: str, on_bad: str = "fail", buckets: int | None = None,
+    members: bool = False,
 ) -> dict[str, int]:
-    lines, report = _counted(readers.read_lines(spark, source))
+    """With ``members``, gzip files of many members are read by many tasks each."""
+    lines, report = _counted((read_member_lines if members else readers.read_lines)(spark, source))
     links, kept = _counted(readers.split_wiki_links(lines, on_bad))
     _write(links, target, buckets)
     return {"rows": kept.get["rows"], "bad_lines": report.get["rows"] - kept.get["rows"]}
