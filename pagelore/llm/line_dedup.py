@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelore.llm.storage import stage, temporaries
 from pagelore.operators.grouping import group_to_join
+from pagelore.operators.prefilter import key_filter, maybe_in
 
 #: A line on so many sites is boilerplate.
 SITES = 3
@@ -59,9 +60,11 @@ def line_sites(docs: DataFrame, passages: bool = False) -> DataFrame:
 def boilerplate(lines: DataFrame, sites: int = SITES, passage_sites: int | None = None) -> DataFrame:
     """(line, first): lines on at least ``sites`` sites and the document that has each first.
 
-    With ``passage_sites``, that is the limit of the lines marked is_passage. The first document is the one with the smallest id, null before all; equal ids go by the
-    hash of the text. Lines far from the limit are decided by their sketch, the others by
-    an exact count.
+    With ``passage_sites``, that is the limit of the lines marked is_passage. The first document
+    is the one with the smallest id, null before all; equal ids go by the hash of the text. Lines
+    far from the limit are decided by their sketch, the others by an exact count. For that, the
+    scan leaves out the lines that are far from it, and equal pairs of line and site become one
+    before the pairs of a line meet: about as many as the limit, however often the line stands.
     """
     holder = F.struct("doc_id", "text_hash")
     is_passage = F.lit(False) if passage_sites is None else F.max("is_passage")
@@ -76,10 +79,9 @@ def boilerplate(lines: DataFrame, sites: int = SITES, passage_sites: int | None
     estimated = stage(estimated, "line-spread")
     is_near = F.col("spread") <= F.col("limit") * (1 + MARGIN) + 0.5
     near = estimated.where(is_near).select(F.col("line").alias("near_line"), "first", "limit")
-    pairs = lines.join(near, F.col("line") == F.col("near_line"))
-    counted = pairs.groupBy("line").agg(
-        F.countDistinct("site").alias("n"), F.first("first").alias("first"),
-        F.first("limit").alias("limit"),
+    held = maybe_in(lines.select("line", "site"), "line", key_filter(near, "near_line")).distinct()
+    counted = held.join(near, F.col("line") == F.col("near_line")).groupBy("line").agg(
+        F.count("*").alias("n"), F.first("first").alias("first"), F.first("limit").alias("limit"),
     )
     exact = counted.where(F.col("n") >= F.col("limit")).select("line", "first")
     return estimated.where(~is_near).select("line", "first").unionByName(exact)
