@@ -13,17 +13,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelore.llm.storage import stage
+from pagelore.llm.storage import stage, temporaries
 from pagelore.llm.texthash import BYTES, slices, text_bytes
+from pagelore.operators.prefilter import MOST_BYTES, key_filter, maybe_in
 
 #: Chunks have about 2**11 bytes, between these limits (the last one may be shorter).
 MEAN_BITS = 11
 LEAST, MOST = 256, 1 << 16
-#: Bits of the filter that says which recipes occur more than once. Its size is fixed; when it
-#: fills up, more chunks are moved, and results stay the same.
+#: Bits of the filter of digests that different chunks share. There are none but by an accident
+#: of 128 bits; were it full, more chunks would be named by their bytes, with the same results.
 FILTER_BITS = 1 << 20
 DIGEST_BYTES = 16
 #: A task remembers so many bytes of chunks that it has already named.
@@ -110,9 +111,9 @@ def _no_bits() -> np.ndarray:
 def recipes(
     docs: DataFrame, digest_bytes: int = DIGEST_BYTES, doubtful: np.ndarray | None = None
 ) -> DataFrame:
-    """(row, doc_id, text_sha256, recipe, recipe_hash): a number for the row, the identifiers of
-    its chunks in order, and a hash of that list. Chunks whose digest the packed filter
-    ``doubtful`` marks are identified by their bytes."""
+    """(row, doc_id, text_hash, text_sha256, recipe, recipe_hash): a number for the row, hashes of
+    the text, the identifiers of its chunks in order, and a hash of that list. Chunks whose
+    digest the packed filter ``doubtful`` marks are identified by their bytes."""
     packed = _no_bits() if doubtful is None else doubtful
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,45 +128,54 @@ def recipes(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + part.num_rows)), part.column(0),
-                        pa.array(shas), pa.array(lists, pa.list_(pa.binary())),
+                        part.column(2), pa.array(shas), pa.array(lists, pa.list_(pa.binary())),
                         pa.array([_recipe_hash(x) for x in lists], pa.int64()),
                     ],
-                    ["row", "doc_id", "text_sha256", "recipe", "recipe_hash"],
+                    ["row", "doc_id", "text_hash", "text_sha256", "recipe", "recipe_hash"],
                 )
                 row += part.num_rows
 
     return _wanted(docs).mapInArrow(
-        run, "row long, doc_id long, text_sha256 string, recipe array<binary>, recipe_hash long"
+        run,
+        "row long, doc_id long, text_hash long, text_sha256 string, recipe array<binary>,"
+        " recipe_hash long",
     )
 
 
 def _wanted(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash"))
+
+
+def repeated_texts(found: DataFrame) -> DataFrame:
+    """(text_hash) of the texts whose recipe occurs more than once. Copies are counted first, so
+    only different texts of one recipe meet."""
+    counted = found.groupBy("recipe_hash", "text_hash").agg(F.count("*").alias("n"))
+    rows = F.sum("n").over(Window.partitionBy("recipe_hash"))
+    return counted.select("text_hash", rows.alias("rows")).where("rows > 1").select("text_hash")
 
 
 def shared_chunks(
-    docs: DataFrame, found: DataFrame, digest_bytes: int = DIGEST_BYTES
+    docs: DataFrame, found: DataFrame, digest_bytes: int = DIGEST_BYTES, most_bytes: int = MOST_BYTES
 ) -> DataFrame:
     """(digest, chunk) of the documents whose recipe occurs more than once.
 
-    A task leaves out a chunk that it has just named; what it remembers is bounded.
+    A filter of their texts' hashes, sized by their number up to ``most_bytes``, leaves the other
+    documents out where they are read; what passes it by chance does no harm. A task leaves out a
+    chunk that it has just named; what it remembers is bounded.
     """
-    repeated = found.groupBy("recipe_hash").agg(F.count("*").alias("n")).where("n > 1")
-    packed = _filter(repeated.select(F.pmod("recipe_hash", F.lit(FILTER_BITS)).cast("int")))
+    repeated = stage(repeated_texts(found), "repeated-texts")
+    wanted = maybe_in(_wanted(docs), "text_hash", key_filter(repeated, "text_hash", most_bytes))
     nothing = np.zeros(FILTER_BITS, dtype=bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(packed).astype(bool)
         seen: dict[bytes, bytes] = {}
         size = 0
         for batch in batches:
             for part in slices(batch, 1):
                 digests, named = [], []
                 for _, chunks in _documents(part):
-                    recipe = _identifiers(chunks, digest_bytes, nothing)
-                    if not wanted[_recipe_hash(recipe) % FILTER_BITS]:
-                        continue
-                    for identifier, chunk in zip(recipe, chunks):
+                    for identifier, chunk in zip(_identifiers(chunks, digest_bytes, nothing), chunks):
                         if seen.get(identifier) != chunk:
                             digests.append(identifier[1:])
                             named.append(chunk)
@@ -177,11 +187,11 @@ def shared_chunks(
                     [pa.array(digests, pa.binary()), pa.array(named, pa.binary())], ["digest", "chunk"]
                 )
 
-    return _wanted(docs).mapInArrow(run, "digest binary, chunk binary")
+    return wanted.mapInArrow(run, "digest binary, chunk binary")
 
 
 def verified_recipes(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
-    """(row, doc_id, text_sha256, recipe, recipe_hash): equal recipes mean equal texts."""
+    """The rows of :func:`recipes`, where equal recipes mean equal texts."""
     found = stage(recipes(docs, digest_bytes), "recipes", keep=True)
     chunks = shared_chunks(docs, found, digest_bytes)
     verified = chunks.groupBy("digest").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
@@ -206,7 +216,8 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataF
     with the largest doc_id is kept; a null id is smaller than any other, and of rows equal in
     id and text one is kept. Columns other than doc_id and text are ignored.
     """
-    found = verified_recipes(docs, digest_bytes)
+    with temporaries(docs.sparkSession):
+        found = verified_recipes(docs, digest_bytes)
     groups = stage(
         found.groupBy("recipe_hash", "recipe").agg(
             F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")
