@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 from pagelore.llm.components import connected_components
 from pagelore.llm.storage import stage, temporaries
 from pagelore.llm.texthash import slices, text_shingles
+from pagelore.operators.prefilter import MOST_BYTES, key_filter, maybe_in
 
 #: The global order counts shingles in so many buckets; the table has a fixed size of 4 MB.
 BUCKET_BITS = 20
-#: Bits of the filter that says whose texts are needed; when it fills up, more texts are kept.
-FILTER_BITS = 1 << 20
 #: A set's signature has a bit for each of so many classes of shingles: whether it holds an odd
 #: number of them. Signatures differ in no more bits than sets in shingles.
 SIGNATURE_BITS = 512
@@ -306,26 +305,25 @@ def plausible(pairs: DataFrame, classes: DataFrame, like: Similarity) -> DataFra
     return both.where(differing <= F.floor(allowed + 1e-6)).select("a", "b")
 
 
-def needed_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def needed_texts(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, most_bytes: int = MOST_BYTES
+) -> DataFrame:
     """(class, zipped): the whole texts of the classes in (a, b), compressed.
 
     Texts are moved instead of sets, since hashes do not compress. A class is found by its first
-    document's id and text. A fixed-size filter tells the tasks which documents these are, so no
-    other text is moved; documents that pass it by chance do no harm.
+    document's id and text. A filter of these, sized by their number up to ``most_bytes``, leaves
+    other texts out where they are read; documents that pass it by chance do no harm.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     wanted = classes.join(ends, F.col("class") == F.col("end"), "semi").select(
-        "class", F.col("doc_key").alias("k"), F.col("text_hash").alias("h")
+        "class", F.col("doc_key").alias("k"), F.col("text_hash").alias("h"),
+        F.xxhash64("doc_key", "text_hash").alias("place"),
     )
-    bits = wanted.select(F.pmod(F.xxhash64("k", "h"), F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
-    marked = np.zeros(FILTER_BITS, dtype=bool)
-    marked[bits.toArrow().column("bit").to_numpy()] = True
-    packed = np.packbits(marked)
+    wanted = stage(wanted, "wanted-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, codec = np.unpackbits(packed).astype(bool), zstandard.ZstdCompressor()
-        for whole in batches:
-            batch = whole.filter(pa.array(wanted[whole.column(3).to_numpy() % FILTER_BITS]))
+        codec = zstandard.ZstdCompressor()
+        for batch in batches:
             for part in slices(batch, 0, PART_BYTES):
                 zipped = pa.array([codec.compress(x.as_buffer()) for x in part.column(0)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -335,10 +333,9 @@ def needed_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
     text = F.col("text").cast("string")
     named = docs.where(text.isNotNull()).select(
         text.alias("text"), _doc_key("doc_id"), F.xxhash64(text).alias("text_hash")
-    )
-    found = named.withColumn("place", F.xxhash64("doc_key", "text_hash")).mapInArrow(
-        run, "doc_key long, text_hash long, zipped binary"
-    )
+    ).withColumn("place", F.xxhash64("doc_key", "text_hash"))
+    held = maybe_in(named, "place", key_filter(wanted, "place", most_bytes))
+    found = held.mapInArrow(run, "doc_key long, text_hash long, zipped binary")
     one = found.groupBy("doc_key", "text_hash").agg(F.first("zipped").alias("zipped"))
     both = one.join(wanted, (F.col("doc_key") == F.col("k")) & (F.col("text_hash") == F.col("h")))
     return both.select("class", "zipped")
