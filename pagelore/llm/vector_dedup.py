@@ -2,10 +2,12 @@
 
 A coarse quantiser puts every vector into one list, its residual into one code per subspace.
 A query probes each list that can hold a neighbour near enough: a vector on the other side of
-the plane between two centroids is at least as far away as that plane. Inside a list, table
-lookups give the distance to every quantised vector; the known error of each bounds the true
-distance from below, and what remains is compared exactly. Both bounds lose no neighbour, so
-recall is that of brute force up to rounding.
+the plane between two centroids is at least as far away as that plane. Of a neighbour's way only
+the share in the direction across the plane counts, about 1 / sqrt(dimensions) of it; ``SPREAD``
+times that is probed. ``spread=None`` probes by the whole way, which loses no neighbour and visits
+nearly all lists. Inside a list, table lookups give the distance to every quantised vector; the
+known error of each bounds the true distance from below, so that nothing is lost there, and what
+remains is compared exactly.
 
 The quantisers are fitted to a bounded sample (``SAMPLE_ROWS``); every vector is indexed.
 """
@@ -16,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,8 @@ THRESHOLD = 0.93
 SAMPLE_ROWS = 20_000
 SUBSPACES = 8
 CODES = 256
+#: Probes reach so many standard deviations of a neighbour's way across a plane between lists.
+SPREAD = 3.0
 #: Vectors of a list and queries to it meet in blocks of about so many.
 BLOCK_ROWS = 2048
 _SLACK = 1e-6
@@ -68,12 +73,12 @@ class Quantiser:
         m = self.books.shape[0]
         return np.concatenate([self.books[j][codes[:, j]] for j in range(m)], axis=1)
 
-    def probes(self, unit: np.ndarray, own: np.ndarray, reach: float) -> np.ndarray:
-        """Which lists (columns) can hold vectors within ``reach`` of each row."""
+    def probes(self, unit: np.ndarray, own: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Which lists (columns) have their plane to the own list within each row's reach."""
         d2 = _squares(unit, self.centroids)
         between = np.sqrt(np.maximum(_squares(self.centroids, self.centroids), 0.0))[own]
         ahead = d2 - d2[np.arange(len(unit)), own][:, None]
-        return ahead <= 2 * between * (reach + _SLACK) + _SLACK
+        return ahead <= 2 * between * (reach[:, None] + _SLACK) + _SLACK
 
     def distances(
         self, unit: np.ndarray, centroid: int, codes: np.ndarray, norms: np.ndarray
@@ -109,6 +114,13 @@ def _means(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
+def probe_reach(reach: float, sizes: np.ndarray, spread: float | None = SPREAD) -> np.ndarray:
+    """How far across a plane between lists the neighbours within ``reach`` of vectors of these
+    sizes are looked for."""
+    share = np.ones(len(sizes)) if spread is None else np.minimum(1.0, spread / np.sqrt(sizes))
+    return reach * share
+
+
 def _readable(rows: DataFrame) -> DataFrame:
     """(row, vec_id, label, size, vec): vec is 64-bit binary, null where a vector can link with
     nothing."""
@@ -116,21 +128,11 @@ def _readable(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            vectors = []
-            for x in batch.column(2):
-                usable = None
-                if x.is_valid and len(x.values) and not x.values.null_count:
-                    v = x.values.to_numpy()
-                    with np.errstate(over="ignore"):
-                        norm = float(np.linalg.norm(v))
-                    if math.isfinite(norm) and norm > 0:
-                        usable = v.astype("<f8").tobytes()
-                vectors.append(usable)
-            sizes = [0 if v is None else len(v) // 8 for v in vectors]
+            sizes, vectors = _usable(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + batch.num_rows)), batch.column(0), batch.column(1),
-                    pa.array(sizes, pa.int32()), pa.array(vectors, pa.binary()),
+                    sizes, vectors,
                 ],
                 ["row", "vec_id", "label", "size", "vec"],
             )
@@ -143,11 +145,33 @@ def _readable(rows: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, "row long, vec_id long, label string, size int, vec binary")
 
 
+def _usable(lists: pa.ListArray) -> tuple[pa.Array, pa.Array]:
+    """Sizes and 64-bit bytes of vectors that are finite and not zero; 0 and null for others."""
+    edges = lists.offsets.to_numpy()
+    values = pc.fill_null(lists.values, math.nan).to_numpy(zero_copy_only=False).astype("<f8")
+    filled = lists.is_valid().to_numpy(zero_copy_only=False) & (edges[1:] > edges[:-1])
+    squares = np.zeros(len(lists))
+    if filled.any():
+        bounds = np.stack([edges[:-1][filled], edges[1:][filled]], axis=1).ravel()
+        with np.errstate(over="ignore", invalid="ignore"):
+            # Every other sum is one between the vectors; the last bound may be the end.
+            squares[filled] = np.add.reduceat(np.append(values**2, 0.0), bounds)[::2]
+    usable = np.isfinite(squares) & (squares > 0)
+    raw = [
+        values[a:b].tobytes() if ok else None
+        for a, b, ok in zip(edges[:-1].tolist(), edges[1:].tolist(), usable.tolist())
+    ]
+    sizes = np.where(usable, edges[1:] - edges[:-1], 0)
+    return pa.array(sizes, pa.int32()), pa.array(raw, pa.binary())
+
+
 def _matrix(column: pa.Array, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Vectors as rows, filled up with zeros to one width, and their norms."""
     out = np.zeros((len(column), width))
-    for i, (x, n) in enumerate(zip(column, sizes)):
-        out[i, :n] = np.frombuffer(x.as_buffer(), dtype="<f8")
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    if len(column):
+        out[np.arange(width) < np.asarray(sizes)[:, None]] = np.frombuffer(data[edges[0] : edges[-1]], "<f8")
     return out, np.linalg.norm(out, axis=1)
 
 
@@ -174,7 +198,9 @@ def fit(classes: DataFrame, n: int, sample_rows: int = SAMPLE_ROWS) -> Quantiser
     return Quantiser.fit(_units(vectors, norms)[order], lists)
 
 
-def index(classes: DataFrame, quantiser: Quantiser, reach: float) -> DataFrame:
+def index(
+    classes: DataFrame, quantiser: Quantiser, reach: float, spread: float | None = SPREAD
+) -> DataFrame:
     """Every class of equal vectors with its list, codes and the lists that it probes.
 
     Of two lists that may hold neighbours of each other, the smaller one's vectors probe."""
@@ -184,10 +210,11 @@ def index(classes: DataFrame, quantiser: Quantiser, reach: float) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                vectors, norms = _matrix(batch.column(4), batch.column(2).to_pylist(), quantiser.dimensions)
+                sizes = batch.column(2).to_numpy()
+                vectors, norms = _matrix(batch.column(4), sizes, quantiser.dimensions)
                 unit = _units(vectors, norms)
                 lists, codes, square, error = quantiser.encode(unit)
-                near = quantiser.probes(unit, lists, reach)
+                near = quantiser.probes(unit, lists, probe_reach(reach, sizes, spread))
                 probes = [np.flatnonzero(p[k:]) + k for p, k in zip(near, lists.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -280,7 +307,7 @@ def _found(u, u_links, v, v_links, pairs) -> pa.Table:
 
 def near_duplicate_vectors(
     rows: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, spread: float | None = SPREAD,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row a vector.
 
@@ -289,10 +316,12 @@ def near_duplicate_vectors(
     and zero vectors link with nothing. Equal vectors of a label are one class: they are
     searched once and count one by one. component_id is the smallest vec_id that links reach
     (null ids do not count), ``kept`` whether it is the vector's own. Other columns than vec_id,
-    embedding and label are ignored.
+    embedding and label are ignored. ``spread`` says how far lists are probed; None finds all.
     """
     with temporaries(rows.sparkSession):
-        joined = stage(_with_components(rows, threshold, sample_rows, block_rows), "vector-rows", keep=True)
+        joined = stage(
+            _with_components(rows, threshold, sample_rows, block_rows, spread), "vector-rows", keep=True
+        )
     heads = joined.groupBy(F.col("component").alias("of")).agg(F.min("vec_id").alias("component_id"))
     heads = stage(heads, "vector-heads", keep=True)
     return joined.join(heads, F.col("component") == F.col("of")).select(
@@ -302,7 +331,7 @@ def near_duplicate_vectors(
 
 
 def _with_components(
-    rows: DataFrame, threshold: float, sample_rows: int, block_rows: int
+    rows: DataFrame, threshold: float, sample_rows: int, block_rows: int, spread: float | None
 ) -> DataFrame:
     """(vec_id, n_links, component); components are named by a class, or by the row where a
     vector links with nothing."""
@@ -317,7 +346,7 @@ def _with_components(
     if quantiser is None:
         return found.select("vec_id", F.lit(0).cast("long").alias("n_links"), alone.alias("component"))
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
-    indexed = stage(index(classes, quantiser, reach), "vector-index")
+    indexed = stage(index(classes, quantiser, reach, spread), "vector-index")
     met = stage(links(indexed, quantiser, threshold, block_rows), "vector-links")
     counts = met.where("b is null").groupBy(F.col("a").alias("c")).agg(F.sum("n").alias("links"))
     parts = connected_components(met.where("b is not null").select("a", "b"))
