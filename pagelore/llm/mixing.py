@@ -61,11 +61,18 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+def _exact_sum(x: Column) -> Column:
+    """A sum that does not depend on the order of its terms; terms count to 10 digits after the
+    point, and 28 before it."""
+    return F.sum(x.cast("decimal(38,10)")).cast("double")
+
+
 def balanced_rates(counts: DataFrame, targets: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """(source, words, n) and (source, size, target) -> (source, words, n, rate).
 
     Newton's method on each source's dual, kept inside a bracket that halves when a step would
-    leave it. ``words`` of 0 gets rate 1, a source without words as well.
+    leave it. ``words`` of 0 gets rate 1, a source without words as well. Sums are of decimals,
+    which give the same result in any order, so that reruns agree to the last bit.
     """
     sizes = counts.groupBy("source").agg(
         F.sum(F.col("words") * F.col("n")).alias("source_words"), F.sum("n").alias("docs")
@@ -85,8 +92,8 @@ def balanced_rates(counts: DataFrame, targets: DataFrame, most: int = MOST_COPIE
         moved = now.groupBy("tilt_source").agg(
             F.first("target").alias("target"), F.first("mean").alias("mean"),
             F.first("tilt").alias("tilt"), F.first("low").alias("low"), F.first("high").alias("high"),
-            F.sum(rate * F.col("words") * F.col("n")).alias("words"),
-            F.sum(F.when(rate < most, rate * x * F.col("words") * F.col("n")).otherwise(0.0)).alias("slope"),
+            _exact_sum(rate * F.col("words") * F.col("n")).alias("words"),
+            _exact_sum(F.when(rate < most, rate * x * F.col("words") * F.col("n")).otherwise(0.0)).alias("slope"),
         )
         gap = F.col("words") - F.col("target")
         low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
