@@ -368,6 +368,48 @@ def test_pages_with_lists(tables):
     assert grouping.pages_with_lists(pages, annotations, links.where("false"), 2).count() == 0
 
 
+def _many_pages(spark, hot_rows):
+    """Pages of few items, and two of many: one of different items, one of copies."""
+    rows = spark.range(900 + 2 * hot_rows).select(
+        F.when(F.col("id") < 900, F.concat(F.lit("u"), F.col("id") % 60))
+        .when(F.col("id") < 900 + hot_rows, "hot").otherwise("copies").alias("url"),
+        F.when(F.col("id") < 900 + hot_rows, F.concat(F.lit("s"), F.col("id") % 500)).otherwise("s").alias("item"),
+    )
+    annotations = rows.select("url", F.col("item").alias("subject"), F.lit("<p>").alias("predicate"),
+                              F.when(F.col("url") != "u7", F.col("item")).alias("obj"))
+    links = rows.where("url != 'u9'").select("url", F.col("item").alias("wikiLink"))
+    pages = rows.select("url").distinct().where("url != 'u3'").unionAll(spark.sql("SELECT 'u5' UNION ALL SELECT NULL"))
+    return (pages.withColumn("content", F.concat(F.lit("on "), "url")),
+            annotations.unionAll(spark.sql("SELECT NULL, 'a', 'b', NULL")),
+            links.unionAll(spark.sql("SELECT NULL, 'a'")))
+
+
+def test_hot_pages_are_ranked_with_the_same_lists(spark, monkeypatch):
+    pages, annotations, links = _many_pages(spark, 300)
+    results = []
+    for most, found in ((10_000, 0), (200, 2), (0, 62)):
+        monkeypatch.setattr(grouping, "HOT_ROWS", most)
+        assert len(grouping._hot_buckets(annotations.where("url IS NOT NULL"))) == found
+        results.append((rows(grouping.triples_by_page(annotations, 7)),
+                        rows(grouping.wikilinks_by_page(links, 7)),
+                        rows(grouping.pages_with_lists(pages, annotations, links, 7))))
+    assert results[0] == results[1] == results[2]
+    assert len({r[0] for r in results[0][2]}) == 60  # neither u3 nor u9, nor without address
+
+
+def test_lists_take_one_shuffle(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    pages, annotations, links = (t.localCheckpoint() for t in _many_pages(spark, 300))
+
+    def shuffles(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+    assert shuffles(grouping.triples_by_page(annotations, 7)) == 1
+    assert shuffles(grouping.wikilinks_by_page(links, 7)) == 1
+    assert shuffles(grouping.pages_with_lists(pages, annotations, links, 7)) == 2
+
+
 def test_ranks_over_runs(spark, with_conf):
     """A page that lies in many runs, and pages at their borders."""
     items = spark.range(5000).select(
