@@ -186,13 +186,26 @@ def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def _variants(rows: DataFrame, names: tuple[str, ...], *variants) -> DataFrame:
-    """Several rows per address: each variant is a condition (or None) and column values."""
-    items = []
-    for condition, *values in variants:
-        item = F.struct(*(_column(v).alias(name) for v, name in zip(values, names)))
-        items.append(item if condition is None else F.when(condition, item))
-    spread = rows.select("url", F.explode(F.array(*items)).alias("item"))
-    return spread.where(F.col("item").isNotNull()).select("url", "item.*")
+    """Several rows per address: each variant is a condition (or None) and column values.
+
+    Rows are repeated by the number of their variant, so that Spark reads and makes only the
+    columns that are used.
+    """
+    numbers = [
+        F.lit(i) if condition is None else F.when(condition, F.lit(i))
+        for i, (condition, *_) in enumerate(variants)
+    ]
+    spread = rows.withColumn("variant", F.explode(F.array_compact(F.array(*numbers))))
+    columns = zip(*(values for _, *values in variants))
+    return spread.select("url", *(_chosen(c).alias(name) for name, c in zip(names, columns)))
+
+
+def _chosen(values: tuple[str | Column, ...]) -> Column:
+    """The value of the row's variant."""
+    chosen = _column(values[-1])
+    for i, value in reversed([*enumerate(values[:-1])]):
+        chosen = F.when(F.col("variant") == i, _column(value)).otherwise(chosen)
+    return chosen
 
 
 def _column(value: str | Column) -> Column:

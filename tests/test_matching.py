@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs
 from pagelore.operators import grouping, matching, substitution
 from pagelore.operators.per_page import per_page
 from pagelore.plans.jobs import knowledge_base
@@ -410,6 +411,14 @@ def test_lists_take_one_shuffle(spark, with_conf):
     assert shuffles(grouping.pages_with_lists(pages, annotations, links, 7)) == 2
 
 
+def test_variants_read_only_what_is_used(spark):
+    """Counting the annotations of a page makes none of their texts."""
+    shop = inputs.shop(spark, "/root/testdata/sf0.001")
+    for rows_of in (inputs.shop_annotations, inputs.shop_links):
+        plan = rows_of(shop).groupBy("url").count()._jdf.queryExecution().executedPlan().toString()
+        assert "c_name" not in plan and "n_name" not in plan
+
+
 def test_ranks_over_runs(spark, with_conf):
     """A page that lies in many runs, and pages at their borders."""
     items = spark.range(5000).select(
