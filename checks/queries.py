@@ -19,7 +19,7 @@ from pagelore.operators.quads import annotations_from_quads, parse_quads
 from pagelore.plans import jobs
 from pagelore.sources import readers, writers
 from pagelore.sources.members import read_member_lines, write_member_lines
-from pagelore.sources.staging import fresh_path
+from pagelore.sources.staging import cut_lineage, fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,7 +174,8 @@ def tweet_links(spark, sf_dir):
 
 
 def _shop(spark, sf_dir):
-    shop = inputs.shop(spark, sf_dir)
+    """Three tables from one join, which is staged where the cluster has a shared folder."""
+    shop = cut_lineage(inputs.shop(spark, sf_dir), "shop")
     return inputs.shop_pages(shop), inputs.shop_annotations(shop), inputs.shop_links(shop)
 
 

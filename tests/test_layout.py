@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from checks import inputs
+from checks import inputs, queries
 from pagelore.functions import annotations, markup, text, urls
 from pagelore.functions import sql as sql_functions
 from pagelore.operators import grouping
@@ -62,6 +62,15 @@ def test_knowledge_base_over_tables_by_page(spark, laid_out, tmp_path, with_conf
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
 
 
+def test_tables_of_the_shop_share_one_join(spark):
+    """The join is staged; each table then starts from its rows."""
+    shop = inputs.shop(spark, SF_DIR)
+    apart = inputs.shop_pages(shop), inputs.shop_annotations(shop), inputs.shop_links(shop)
+    for staged, plain in zip(queries._shop(spark, SF_DIR), apart):
+        assert "Join" not in staged._jdf.queryExecution().executedPlan().toString()
+        assert rows(staged) == rows(plain)
+
+
 def test_jobs_write_tables_by_page(spark, tmp_path):
     quads = tmp_path / "quads"
     line = '_:a <http://schema.org/Person/name> "Ann" <http://www.a.co.uk/> <ex:rdfa> .'
