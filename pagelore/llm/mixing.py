@@ -8,7 +8,9 @@ size only, so Spark counts the documents of each source and size once, and every
 join and an aggregation of that table. Rates then become whole copies.
 """
 
-import pandas as pd
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ MOST_COPIES = 3
 #: for what is left. It fails if so many steps, far more than halving needs, do not get there.
 NEAR = 1e-5
 STEPS = 200
+#: Lower bits of monotonically_increasing_id, which count within a partition.
+_ID_BITS = 33
 
 
 def word_count(text: Column) -> Column:
@@ -36,9 +40,25 @@ def source_targets(sources: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """
     spark = sources.sparkSession
     ordered = sources.orderBy(F.col("source").asc_nulls_last())
-    numbered = ordered.rdd.zipWithIndex().map(lambda x: (x[0]["source"], x[0]["size"], x[1] % 3 + 1.0))
+    # The id has the number of the partition in its upper bits, that of the row within in the lower.
+    numbered = stage(
+        ordered.select(
+            F.col("source").cast("string"), F.col("size").cast("long"), F.monotonically_increasing_id().alias("id")
+        ),
+        "mix-sources",
+    ).withColumn("part", F.shiftright("id", _ID_BITS).cast("int"))
+    counts = sorted(tuple(r) for r in numbered.groupBy("part").agg(F.count("*")).collect())
+    before = [0, *accumulate(n for _, n in counts)][: len(counts)]
+    # From Arrow, as rows of a list would go through Python workers.
+    starts = spark.createDataFrame(
+        pa.table({"of_part": pa.array([part for part, _ in counts], pa.int32()), "before": pa.array(before, pa.int64())})
+    )
+    place = F.col("before") + F.col("id").bitwiseAND(F.lit((1 << _ID_BITS) - 1))
     weighed = stage(
-        spark.createDataFrame(numbered, "source string, size long, weight double"), "mix-sources"
+        numbered.join(F.broadcast(starts), F.col("part") == F.col("of_part")).select(
+            "source", "size", (place % 3 + 1.0).alias("weight")
+        ),
+        "mix-sources",
     ).withColumn("cap", F.col("size") * float(most))
     total = weighed.agg(F.sum("size")).first()[0] or 0
     share = 0.0
@@ -135,10 +155,10 @@ def whole_copies(rates: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """
     out = "source string, words long, copies int, extra long"
 
-    def round_source(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("words", ascending=False)
+    def round_source(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("words", "descending")])
         carry, copies, extra = 0.0, [], []
-        for words, n, rate in zip(rows["words"], rows["n"], rows["rate"]):
+        for words, n, rate in zip(*(rows[c].to_pylist() for c in ("words", "n", "rate"))):
             base = min(int(rate), most)
             wanted = (rate - base) * n
             if not words:
@@ -148,11 +168,11 @@ def whole_copies(rates: DataFrame, most: int = MOST_COPIES) -> DataFrame:
                 carry += (wanted - more) * words
             copies.append(base)
             extra.append(more)
-        done = rows[["source", "words"]].copy()
-        done["copies"], done["extra"] = copies, extra
-        return done
+        done = rows.select(["source", "words"])
+        done = done.append_column("copies", pa.array(copies, pa.int32()))
+        return done.append_column("extra", pa.array(extra, pa.int64()))
 
-    return rates.groupBy("source").applyInPandas(round_source, out)
+    return rates.groupBy("source").applyInArrow(round_source, out)
 
 
 def mix(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pagelore.llm.components import connected_components
 from pagelore.llm.storage import stage, temporaries
-from pagelore.llm.texthash import slices, text_shingles
+from pagelore.llm.texthash import PART_BYTES, slices, text_shingles
 from pagelore.operators.prefilter import MOST_BYTES, key_filter, maybe_in
 
 #: The global order counts shingles in so many buckets; the table has a fixed size of 4 MB.
@@ -35,8 +35,6 @@ SIGNATURE_BITS = 512
 #: The list of a shingle is cut into parts by hash, one more for each time that its bucket is so
 #: many times as full as the mean, so that no task gets the whole list of a hot one.
 HOT = 8
-#: Texts are cut into shingles in runs of so many bytes.
-PART_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -456,7 +454,9 @@ def _with_components(docs: DataFrame, like: Similarity) -> DataFrame:
     parts = connected_components(links)
     more = stage(remaining_pairs(lists, classes, parts, pairs, like), "pairs")
     texts = stage(needed_texts(docs, classes, more), "texts")
-    parts = connected_components(links.unionByName(verified(more, texts, like)))
+    # Written first: else a task runs a Python worker for the sets and one for the links at once.
+    left = stage(verified(more, texts, like), "links")
+    parts = connected_components(links.unionByName(left))
     named = classes.join(parts, F.col("class") == F.col("node"), "left").select(
         F.col("set_key").alias("k"), F.col("set_check").alias("c"),
         F.coalesce("component", "class").alias("component"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pagelore.llm.storage import stage
-from pagelore.llm.texthash import slices
+from pagelore.llm.texthash import PART_BYTES, slices
 from pagelore.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 1024
@@ -110,7 +110,7 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, added=True)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, PART_BYTES):
                 ids, first = enc.encode(part.column(1))
                 ids = np.insert(ids, first[1:], np.array(end_id, dtype=enc.dtype)).astype("<u4")
                 first = first + np.arange(len(first))

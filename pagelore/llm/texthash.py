@@ -14,6 +14,8 @@ import xxhash
 
 WINDOW = 1 << 18
 SLICE_BYTES = 4 << 20
+#: For steps that hold many arrays as long as the text.
+PART_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 
 

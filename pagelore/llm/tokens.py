@@ -9,11 +9,11 @@ gives, or with special ones spelt out like other text, so that their ids never o
 
 import functools
 import json
+import os
 import re
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -29,6 +29,8 @@ _WORD_CHARACTER = re.compile(r"\w")
 
 KNOWN_PIECES = 1 << 19
 RUN = 500
+#: So many runs are encoded at a time, as the tokenizer's own results are large.
+RUNS = 32
 BLOCK = 1 << 18
 
 
@@ -135,6 +137,8 @@ class Encoder:
     def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the tokenizer's own would each keep memory, too.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = whole = Tokenizer.from_file(path)
         self._added = AddedTokens([])
         if added:  # they are cut out before, so the tokenizer itself must not look for them
@@ -156,11 +160,21 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._places: dict[int, int] = {}
+        # Hashes of the known pieces, ascending, and the number of each piece.
+        self._hashes = np.zeros(0, dtype=np.uint64)
+        self._numbers = np.zeros(0, dtype=np.int64)
         self._ids = np.zeros(1 << 16, dtype=self.dtype)
         self._starts = np.zeros(1, dtype=np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each hash among the known ones, and whether it stands there."""
+        at = np.searchsorted(self._hashes, hashes)
+        there = np.zeros(len(hashes), dtype=bool)
+        inside = at < len(self._hashes)
+        there[inside] = self._hashes[at[inside]] == hashes[inside]
+        return at, there
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         joinable = [_joinable(piece) for piece in pieces]
         plain = [i for i, yes in enumerate(joinable) if yes]
         other = [i for i, yes in enumerate(joinable) if not yes]
@@ -176,8 +190,11 @@ class Encoder:
         self._ids[used : used + len(ids)] = ids
         self._ids[used + len(ids) : needed] = more
         self._starts = np.concatenate([self._starts, used + np.cumsum(lengths)])
-        order = [hashes[i] for i in plain + other]
-        self._places.update(zip(order, range(known, known + len(order))))
+        learnt = hashes[np.array(plain + other, dtype=np.int64)]
+        order = np.argsort(learnt)
+        at = np.searchsorted(self._hashes, learnt[order])
+        self._hashes = np.insert(self._hashes, at, learnt[order])
+        self._numbers = np.insert(self._numbers, at, known + order)
 
     def _encode_each(self, pieces: list[bytes]) -> list[list[int]]:
         texts = [piece.decode() for piece in pieces]
@@ -193,7 +210,10 @@ class Encoder:
         if not pieces:
             return np.zeros(0, dtype=self.dtype), np.zeros(0, dtype=np.int64)
         runs = [b"".join(pieces[i : i + RUN]) for i in range(0, len(pieces), RUN)]
-        ids = np.concatenate([np.array(x, dtype=self.dtype) for x in self._encode_each(runs)])
+        ids = np.concatenate([
+            np.array(x, dtype=self.dtype)
+            for i in range(0, len(runs), RUNS) for x in self._encode_each(runs[i : i + RUNS])
+        ])
         ends = np.cumsum(self._bytes[ids])
         wanted = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
         stops = np.searchsorted(ends, wanted)
@@ -237,22 +257,20 @@ class Encoder:
     ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of neighbouring pieces, and their number for each piece."""
         ends = np.append(starts[1:], last)
-        codes, different = pd.factorize(span_hashes(data, starts, ends))
-        if len(self._places) + len(different) > KNOWN_PIECES:
+        found = pa.array(span_hashes(data, starts, ends)).dictionary_encode()
+        codes, hashes = found.indices.to_numpy(), found.dictionary.to_numpy()
+        if len(self._hashes) + len(hashes) > KNOWN_PIECES:
             self._forget()
-        example = np.empty(len(different), dtype=np.int64)
+        example = np.empty(len(hashes), dtype=np.int64)
         example[codes[::-1]] = np.arange(len(codes))[::-1]
-        hashes = different.tolist()
-        new = [i for i, h in enumerate(hashes) if h not in self._places]
-        if new:
+        new = np.flatnonzero(~self._known(hashes)[1])
+        if len(new):
             at = example[new]
             base = int(starts[0])
             raw = data[base:last].tobytes()
             spans = zip((starts[at] - base).tolist(), (ends[at] - base).tolist())
-            self._learn([hashes[i] for i in new], [raw[s:e] for s, e in spans])
-        place = np.fromiter(
-            map(self._places.__getitem__, hashes), dtype=np.int64, count=len(hashes)
-        )[codes]
+            self._learn(hashes[new], [raw[s:e] for s, e in spans])
+        place = self._numbers[self._known(hashes)[0]][codes]
         lengths = (self._starts[1:] - self._starts[:-1])[place]
         before = np.cumsum(lengths) - lengths
         source = np.repeat(self._starts[place] - before, lengths) + np.arange(lengths.sum())

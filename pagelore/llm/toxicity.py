@@ -15,7 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelore.llm.storage import stage, temporaries
-from pagelore.llm.texthash import ALNUM, joined_hashes, mix, slices, span_hashes, text_bytes, words
+from pagelore.llm.texthash import (
+    ALNUM,
+    PART_BYTES,
+    joined_hashes,
+    mix,
+    slices,
+    span_hashes,
+    text_bytes,
+    words,
+)
 
 BITS = 22
 #: Training takes about this many labelled texts at most, chosen by the hash of their id, and
@@ -25,6 +34,8 @@ SAMPLE_ROWS = 20_000
 #: Passes over the sample, whatever its size.
 PASSES = 8
 THRESHOLD = 0.3
+#: Weights are worked out for so many coordinates at a time.
+WEIGHT_BLOCK = 1 << 18
 
 
 def features(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +113,30 @@ class Model:
         return _sigmoid(self.bias + added)
 
 
+def learned(batches: Iterator[pa.RecordBatch], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The coordinates that have a weight after all passes over (doc_id, label, at), and the weights.
+
+    Rows stay in the batches that hold them; beside them there is the state only.
+    """
+    rows = []
+    for batch in batches:
+        edges = batch.column(2).offsets.to_numpy()
+        at = batch.column(2).values.to_numpy()
+        labels = batch.column(1).to_numpy()
+        rows += [(at[edges[i] : edges[i + 1]], label) for i, label in enumerate(labels)]
+    state = Ftrl((1 << bits) + 1)
+    for _ in range(PASSES):
+        for at, label in rows:
+            state.learn(np.append(at, np.int32(1 << bits)), label)
+    found, weights = [], []
+    for start in range(0, len(state.z), WEIGHT_BLOCK):
+        some = state.weights(slice(start, start + WEIGHT_BLOCK))
+        hit = np.flatnonzero(some)
+        found.append(start + hit)
+        weights.append(some[hit])
+    return np.concatenate(found), np.concatenate(weights)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, usable: Column | None = None,
     sample_rows: int = SAMPLE_ROWS, bits: int = BITS,
@@ -129,7 +164,7 @@ def fit(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, PART_BYTES):
                 text, at = _distinct(*features(part.column(1), bits))
                 edges = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(edges, pa.array(at.astype(np.int32)))
@@ -138,19 +173,8 @@ def fit(
                 )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for batch in batches:
-            edges = batch.column(2).offsets.to_numpy()
-            at = batch.column(2).values.to_numpy()
-            for i, label in enumerate(batch.column(1).to_numpy()):
-                rows.append((np.append(at[edges[i] : edges[i + 1]], np.int32(1 << bits)), label))
-        state = Ftrl((1 << bits) + 1)
-        for _ in range(PASSES):
-            for at, label in rows:
-                state.learn(at, label)
-        weights = state.weights(slice(None))
-        at = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_pydict({"at": at, "weight": weights[at]})
+        at, weights = learned(batches, bits)
+        yield pa.RecordBatch.from_pydict({"at": at, "weight": weights})
 
     rows = texts.select("doc_id", "text", "label").mapInArrow(
         extract, "doc_id long, label double, at array<int>"
@@ -177,7 +201,7 @@ def with_score(docs: DataFrame, model: Model, keep: list[str], name: str = "scor
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, PART_BYTES):
                 columns = [part.column(i) for i in range(len(rest))]
                 values = pa.array(model.scores(part.column(at), table))
                 yield pa.RecordBatch.from_arrays([*columns, values], [*rest, name])
